@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,18 +46,16 @@ def map_text(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
     """Columns made from the column text, beside the columns to keep. make() runs once a task and returns a function from a list of texts to lists of values by column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, fields = None, None
+        made = None
         for batch in batches:
             if made is None:
                 made = make()
-            at = batch.schema.get_field_index("text")
-            col = batch.column(at)
-            for lo in range(0, max(1, len(col)), 512):
-                out = made(col.slice(lo, 512).to_pylist())
-                kept = [batch.column(batch.schema.get_field_index(k)).slice(lo, 512) for k in keep]
+            col = batch.column(batch.schema.get_field_index("text"))
+            for lo, n in slices(col):
+                out = made(col.slice(lo, n).to_pylist())
+                kept = [batch.column(batch.schema.get_field_index(k)).slice(lo, n) for k in keep]
                 arrays = kept + [pa.array(v, type=types[k]) if not isinstance(v, pa.Array) else v for k, v in out.items()]
-                fields = [*keep, *out]
-                yield pa.RecordBatch.from_arrays(arrays, names=fields)
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *out])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -68,6 +67,19 @@ def map_text(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
     return df.select(*keep, "text").mapInArrow(run, StructType([*kinds.fields, *made_schema.fields]))
 
 
+def slices(col: pa.Array, rows: int = 512, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Offsets and lengths of stretches of at most so many rows and, but for a single longer text, bytes."""
+    lengths = np.nan_to_num(np.asarray(pc.binary_length(col).to_numpy(zero_copy_only=False), float)).astype(np.int64)
+    lo, n, total = 0, 0, 0
+    for k in lengths.tolist():
+        if n and (n >= rows or total + k > size):
+            yield lo, n
+            lo, n, total = lo + n, 0, 0
+        n, total = n + 1, total + k
+    if n:
+        yield lo, n
+
+
 # --- 64-bit rolling names of byte ranges -----------------------------------------------------------------------------
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -96,3 +108,55 @@ class Powers:
                 step = self.values[-1] * self.base
                 self.values = np.concatenate([self.values, self.values * step])
         return self.values[:n]
+
+
+_POWERS: dict[int, tuple[Powers, Powers]] = {}
+
+
+class Names:
+    """64-bit names of the ranges of a byte or symbol array: equal ranges have equal names anywhere in the corpus. A polynomial modulo 2^64 with an odd base, taken over mixed items so that short cycles of the modulus don't show, and mixed again."""
+
+    def __init__(self, items: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> None:
+        if base not in _POWERS:
+            _POWERS[base] = (Powers(base), Powers(pow(base | 1, -1, 1 << 64)))
+        powers, inverse = _POWERS[base]
+        n = len(items)
+        with np.errstate(over="ignore"):
+            self.inverse = inverse.upto(n + 1)
+            self.sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(items * powers.upto(n + 1)[:n], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64) * _M2)
+
+
+#: Values of single bytes for Names.
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+class Words:
+    """The words of a list of texts (None: none) as byte ranges of one buffer: start, stop and doc of each word; first[d] is the number of the first word of text d."""
+
+    def __init__(self, batch: list, table: bytes | None = None) -> None:
+        raw = [t.encode() if t else b"" for t in batch]
+        data = b" ".join(raw) + b" "
+        if table is not None:
+            data = data.translate(table)
+        self.data = data
+        self.buf = np.frombuffer(data, np.uint8)
+        space = SPACE[self.buf]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edge = np.concatenate([[0], edge])
+        self.start, self.stop = edge[0::2], edge[1::2]
+        self.at = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])]).astype(np.int64)
+        self.first = np.searchsorted(self.start, self.at)
+        self.count = np.diff(self.first)
+        self.doc = np.repeat(np.arange(len(raw)), self.count)
+
+    def names(self) -> np.ndarray:
+        return Names(BYTE_VALUES[self.buf]).of(self.start, self.stop)

@@ -6,14 +6,48 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waymark.llm import monoid_bpe, piece_count
+from waymark.llm import cascade, decontaminate, monoid_bpe, pii, piece_count, revisit
+from waymark.llm import toxicity as tox
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tox.toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"), max_train=20_000)
+
+
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisit.resolve(revisit.page_records(_table(spark, sf_dir, "pages")))
+    return found.select("record_id", "url_key", "ts", F.coalesce("refers_to", F.lit(-1)).alias("refers_to"), "outcome", revisit.headers_text(F.col("headers")).alias("headers"), "payload_digest")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade.quality(_documents(spark, sf_dir)).drop("first_failed")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return pii.find_pii(_documents(spark, sf_dir)).select(
+        "doc_id",
+        *[pii.count_of(spans, k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.spans_text(spans, tuple(pii.BASE)), 256).alias("base_sha256"),
+        pii.spans_text(spans).alias("spans"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_count.token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
@@ -22,9 +56,78 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monoid_bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_token_counts": op4_token_counts,
-    "op8_byte_bpe": op8_byte_bpe,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op4_token_counts, op5_revisits, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_revisits": r"""
+WITH base AS (
+  SELECT CAST(page_id AS BIGINT) AS page_id, url, length(html) AS size, md5(html) AS digest,
+    '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS day,
+    lower(regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1)) AS h,
+    regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2) AS p,
+    regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3) AS q
+  FROM pages),
+keyed AS (
+  SELECT page_id, size, digest, day,
+    regexp_replace(regexp_replace(h, '^www\.', ''), ':(80|443)$', '') || regexp_replace(regexp_replace(p, '/index\.html?$', '/'), '/+$', '')
+      || CASE WHEN len(params) = 0 THEN '' ELSE '?' || array_to_string(params, '&') END AS url_key
+  FROM (SELECT *, list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params FROM base)),
+full_r AS (SELECT 2 * page_id AS record_id, url_key, 10 * page_id AS ts, '"' || digest || '"' AS etag, day AS last_modified, digest, size, day FROM keyed),
+again AS (
+  SELECT 2 * page_id + 1 AS record_id, url_key, 10 * page_id + CASE WHEN size % 5 = 0 THEN -5 ELSE 5 END AS ts,
+    CASE WHEN size % 7 = 0 THEN '"changed"' WHEN size % 11 = 0 THEN NULL ELSE '"' || digest || '"' END AS etag,
+    CASE WHEN size % 11 = 0 THEN day END AS last_modified, day FROM keyed),
+matched AS (
+  SELECT a.*, f.record_id AS f_id, f.etag AS f_etag, f.last_modified AS f_mod, f.digest AS f_digest, f.size AS f_size,
+    row_number() OVER (PARTITION BY a.record_id ORDER BY f.ts DESC, f.record_id DESC) AS rn
+  FROM again a LEFT JOIN full_r f ON a.url_key = f.url_key AND f.ts < a.ts),
+judged AS (
+  SELECT *, CASE WHEN f_id IS NULL THEN 'no_earlier_response'
+    WHEN etag IS NOT NULL THEN CASE WHEN etag = f_etag THEN 'resolved' ELSE 'validator_mismatch' END
+    WHEN last_modified IS NOT NULL THEN CASE WHEN last_modified = f_mod THEN 'resolved' ELSE 'validator_mismatch' END
+    ELSE 'unverified' END AS outcome
+  FROM matched WHERE rn = 1)
+SELECT record_id, url_key, CAST(ts AS BIGINT) AS ts, CASE WHEN outcome IN ('resolved', 'unverified') THEN f_id ELSE -1 END AS refers_to, outcome,
+  CASE WHEN outcome IN ('resolved', 'unverified')
+    THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || f_size || chr(10) || 'content-type: text/html' || chr(10) || 'date: later than ' || day
+    ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10) || 'date: later than ' || day END AS headers,
+  CASE WHEN outcome IN ('resolved', 'unverified') THEN f_digest END AS payload_digest
+FROM judged
+UNION ALL
+SELECT record_id, url_key, CAST(ts AS BIGINT), -1, 'full', 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || day, digest FROM full_r
+""",
+    "op7_quality": rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+windows AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s FROM w, unnest(range(1, len(words) - 1)) t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT j) AS n FROM twice, unnest(range(i, i + 3)) t(j) GROUP BY doc_id),
+f AS (
+  SELECT w.doc_id, text, words, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN repeated r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_words > 100000 OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 5 * n_dup_lines > 2 * n_lines
+    OR 2 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > length(regexp_replace(text, '[^A-Za-z]+', '', 'g'))
+    OR 10 * length(regexp_replace(text, '[^!]+', '', 'g')) > n_words
+    OR 5 * len(list_filter(words, lambda x: NOT regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) > n_words) AS kept
+FROM b
+""",
+    "op9_decontaminate": rf"""
+WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+b AS (SELECT item_id, w, least(13, len(w)) AS k FROM (SELECT item_id, {_PLAIN} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM b, unnest(range(1, len(w) - k + 2)) t(i)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS s FROM d, ks, unnest(range(1, len(w) - k + 2)) t(i) WHERE len(w) >= k),
+h AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, s)),
+words AS (SELECT doc_id, count(DISTINCT j) AS n FROM h, unnest(range(i, i + k)) t(j) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+}
