@@ -100,7 +100,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     for k, block in enumerate(blocks):
         shared = spark.sparkContext.broadcast(block)
         out = out.mapInArrow(_scanner(shared, window, k), schema)
-    return out.mapInArrow(_finish, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>")
+    return out.mapInArrow(_finish, f"doc_id {_ddl(base)}, n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>")
+
+
+def _ddl(base: DataFrame) -> str:
+    return base.schema["doc_id"].dataType.simpleString()
 
 
 def _scanner(shared, window: int, k: int):
@@ -138,3 +142,10 @@ def _finish(batches):
 def contaminated(n_hit, n_words, one_in: int = 20):
     """The contract's rule: hit words make at least one in `one_in`."""
     return (n_hit > 0) & (one_in * n_hit >= n_words)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, text_col: str = "text") -> DataFrame:
+    """The rows of docs that aren't contaminated, with all their columns: a row rides along as the id, so nothing is joined."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = find_contamination(rows, benchmark, window, id_col="row")
+    return found.where(~contaminated(F.col("n_hit"), F.col("n_words"), one_in)).select("doc_id.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import bucket_refine, cascade, decontaminate, monoid_bpe, pii, piece_count, recompression, revisit
+from waymark.llm import bucket_refine, cascade, decontaminate, jaccard, monoid_bpe, pii, piece_count, recompression, revisit
 from waymark.llm import toxicity as tox
 
 
@@ -52,6 +52,10 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(_documents(spark, sf_dir), window=35, outputs=("n_words", "n_removed", "kept_sha256"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
@@ -64,7 +68,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monoid_bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op3_jaccard_join, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -167,10 +167,10 @@ def _let_go(df: DataFrame) -> None:
     df.sparkSession._jvm.System.gc()
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """k1, k2, doc_id, text. Rows that agree in id and text share a key, and that is harmless: both stand for the same places."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """k1, k2, doc_id, text and more columns. Rows that agree in id and text share a key, and that is harmless: both stand for the same places."""
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
-    return docs.select(F.xxhash64(i, t).alias("k1"), F.hash(t, i).alias("k2"), i.alias("doc_id"), t.alias("text"))
+    return docs.select(F.xxhash64(i, t).alias("k1"), F.hash(t, i).alias("k2"), i.alias("doc_id"), t.alias("text"), *more)
 
 
 def by_text(blocks: DataFrame, name: str) -> DataFrame:
