@@ -1,6 +1,529 @@
 """The registered queries over the driver's tables and their SQL."""
 
-from __future__ import annotations
+from collections.abc import Callable
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waymark import schema as S
+from waymark.functions import cleaning as C
+from waymark.operators import audit, cascade, crosswalk, dedup, enrich, metrics, quality, search, spatial
+from waymark.plans import adapters as A
+from waymark.plans import pipelines
+from waymark.sources.io import silver
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(sql: str | None = None, *views: str):
+    """Registers a query under its function's name with its SQL, the views named put before it."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = (A.ctes(*views) + "\n" if views else "") + sql
+        return f
+
+    return add
+
+
+_BOX_OK = "latitude BETWEEN 4.5 AND 21.5 AND longitude BETWEEN 116 AND 127"
+_SWAPPED = "latitude BETWEEN 116 AND 127 AND longitude BETWEEN 4.5 AND 21.5"
+#: Observations cleaned in SQL: swapped pairs put right, others out of the box without coordinates.
+_CLEAN = f"""clean AS (SELECT _ord, priority, source, site_id, site_name, swapped, CASE WHEN ok THEN la END AS latitude, CASE WHEN ok THEN lo END AS longitude FROM (
+  SELECT *, la BETWEEN 4.5 AND 21.5 AND lo BETWEEN 116 AND 127 AS ok FROM (SELECT *, {_SWAPPED} AS swapped, CASE WHEN {_SWAPPED} THEN longitude ELSE latitude END AS la, CASE WHEN {_SWAPPED} THEN latitude ELSE longitude END AS lo FROM obs)))"""
+
+
+def clean(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned sources as the silver stage leaves them: written once, so that what reads them several times reads a table."""
+    return silver(C.reject_out_of_bounds(C.fix_swapped(A.obs(spark, d))), "observations")
+
+
+# --- cleaning ---------------------------------------------------------------------------------------------------------
+
+
+@register("""SELECT c_custkey, CAST(100000 + c_custkey AS VARCHAR) AS id, lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS id6,
+  lpad(CAST(c_nationkey AS VARCHAR), 10, '0') AS code, length(CAST(100000 + c_custkey AS VARCHAR)) AS id_length FROM customer""")
+def clean_normalize_ids(spark, d):
+    raw = F.concat(F.lit("  "), (100000 + F.col("c_custkey")).cast("string"), F.when(F.col("c_custkey") % 2 == 0, ".0").otherwise(""), F.lit(" "))
+    ident = C.normalize_id(raw)
+    return A.table(spark, d, "customer").select("c_custkey", ident.alias("id"), C.normalize_id(F.concat(F.col("c_custkey").cast("string"), F.lit(".0")), 6).alias("id6"), C.pad_code(F.col("c_nationkey").cast("string")).alias("code"), F.length(ident).cast("long").alias("id_length"))
+
+
+@register(f""", {_CLEAN} SELECT source, site_id, _ord, swapped AS was_swapped, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM clean""", "obs")
+def clean_swap_and_bounds(spark, d):
+    return clean(spark, d).select("source", "site_id", "_ord", F.col("_was_swapped").alias("was_swapped"), F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"))
+
+
+@register("""SELECT p_partkey, id FROM (SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS id FROM part UNION ALL SELECT p_partkey, CAST(p_partkey + 1000000 AS VARCHAR) FROM part WHERE p_partkey % 2 = 0)""")
+def explode_compound_ids(spark, d):
+    ids = F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("; "), (F.col("p_partkey") + 1000000).cast("string"), F.lit("; "))).otherwise(F.lit(";")))
+    return C.explode_ids(A.table(spark, d, "part").select("p_partkey", ids.alias("id")), "id")
+
+
+@register("""SELECT p_partkey, round(CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN p_size + 1.0 WHEN 2 THEN p_size + 0.75 END, 6) AS x,
+  round(CASE p_partkey % 4 WHEN 0 THEN 2.0 WHEN 1 THEN 3.0 WHEN 2 THEN 2.75 END, 6) AS y FROM part""")
+def centroid_geometry(spark, d):
+    s = F.col("p_size").cast("string")
+    p = lambda dx, y: F.concat(F.lit("["), (F.col("p_size") + dx).cast("string"), F.lit(f", {y}]"))
+    m = F.col("p_partkey") % 4
+    kind = F.when(m == 0, "Point").when(m == 1, "LineString").when(m == 2, "Polygon").otherwise("Unknown")
+    ring = F.concat(F.lit("["), p(0, 2), F.lit(","), p(3, 2), F.lit(","), p(0, 5), F.lit(","), p(0, 2), F.lit("]"))
+    text = F.when(m == 0, F.concat(F.lit("["), s, F.lit(", 2]"))).when(m == 1, F.concat(F.lit("["), p(0, 2), F.lit(","), p(2, 4), F.lit("]"))).otherwise(F.concat(F.lit("["), ring, F.lit("]")))
+    c = C.vertex_centroid(kind, text)
+    return A.table(spark, d, "part").select("p_partkey", F.round(c["x"], 6).alias("x"), F.round(c["y"], 6).alias("y"))
+
+
+@register("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'NCR' WHEN c_custkey % 3 = 1 THEN 'Region V' ELSE 'Elsewhere' END AS region,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Region ' || CAST(c_nationkey AS VARCHAR) WHEN c_custkey % 3 = 1 THEN 'CAR' ELSE 'San Jose, Del Monte' END AS place,
+  CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS flag, c_custkey % 2 = 0 AS yes FROM customer""")
+def clean_names_and_flags(spark, d):
+    m = F.col("c_custkey") % 3
+    region = F.when(m == 0, " National Capital Region (NCR)").when(m == 1, "REGION V (BICOL REGION)").otherwise("Elsewhere ")
+    place = F.when(m == 0, F.concat(F.lit("region  "), F.col("c_nationkey").cast("string"))).when(m == 1, F.lit(" car ")).otherwise(F.lit("SAN   JOSE ,del monte"))
+    even = F.col("c_custkey") % 2 == 0
+    return A.table(spark, d, "customer").select("c_custkey", C.map_values(region, S.REGION_NAMES).alias("region"), C.normalize_location(place).alias("place"), C.flag01(F.when(even, " 1").otherwise("x")).alias("flag"), C.yes_flag(F.when(even, "YES ")).alias("yes"))
+
+
+# --- deduplication ----------------------------------------------------------------------------------------------------
+
+
+@register("SELECT o_custkey, o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1")
+def dedup_first_report(spark, d):
+    return dedup.keep_first(A.table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice")), ["o_custkey"], "o_orderkey")
+
+
+@register("SELECT o_custkey, o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")
+def dedup_last_report(spark, d):
+    return dedup.keep_last(A.table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice")), ["o_custkey"], "o_orderkey")
+
+
+@register(f""", {_CLEAN}, r AS (SELECT *, CASE WHEN length(site_id) = 7 THEN substr(site_id, 2) WHEN site_id LIKE '9%' THEN CAST(CAST(site_id AS BIGINT) - 800000 AS VARCHAR) ELSE site_id END AS cid FROM clean),
+k AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 0 ELSE 1 END, CASE WHEN coalesce(site_name IN ('', 'None'), true) THEN 1 ELSE 0 END, _ord * 10 + priority) AS rn FROM r)
+SELECT cid AS site_id, site_name, source, round(latitude, 6) AS latitude FROM k WHERE rn = 1""", "obs")
+def consolidate_after_remap(spark, d):
+    s = A.site(spark, d)
+    xw = s.where("_ord % 40 = 5").select(F.concat(F.lit("1"), "site_id").alias("historical_id"), F.col("site_id").alias("canonical_id"), "_ord").unionByName(s.where("_ord % 33 = 2").select((900000 + F.col("_ord")).cast("string").alias("historical_id"), F.col("site_id").alias("canonical_id"), "_ord"))
+    moved = crosswalk.remap(clean(spark, d).withColumn("_ord", F.col("_ord") * 10 + F.col("priority")), xw)
+    return dedup.consolidate(moved).select("site_id", "site_name", "source", F.round("latitude", 6).alias("latitude"))
+
+
+# --- crosswalk --------------------------------------------------------------------------------------------------------
+
+_LAYER = """, known AS (SELECT site_id FROM site WHERE _ord % 80 = 5 OR _ord % 3 = 0),
+m AS (SELECT mapping.*, canonical_id AS long_id, CASE WHEN length(canonical_id) = 7 AND substr(canonical_id, 2) IN (SELECT site_id FROM known) THEN substr(canonical_id, 2) ELSE canonical_id END AS cid FROM mapping),
+cells AS (SELECT _ord, cid, regexp_replace(trim(v), '\\.0$', '') AS hid, y, rk FROM m, LATERAL (VALUES (sy_2008, 2008, 1), (sy_2012, 2012, 2), (sy_2020, 2020, 3), (old_school_id, NULL, 4), (legacy_id, NULL, 5)) t(v, y, rk) WHERE v IS NOT NULL AND trim(v) <> ''),
+spans AS (SELECT _ord, cid, hid, min(y) AS y1, max(y) AS y2, min(rk) AS rk FROM cells WHERE hid <> cid GROUP BY _ord, cid, hid),
+every AS (SELECT * FROM spans UNION ALL SELECT _ord, cid, long_id, 2024, 2024, 0 FROM m WHERE cid <> long_id UNION ALL SELECT _ord, cid, cid, NULL, NULL, 1000 FROM m),
+layer AS (SELECT hid AS historical_id, cid AS canonical_id, CAST(y1 AS INTEGER) AS year_first_seen, CAST(y2 AS INTEGER) AS year_last_seen, _ord, rk FROM (SELECT *, row_number() OVER (PARTITION BY hid, cid ORDER BY _ord, rk) AS rn FROM every) WHERE rn = 1)
+"""
+
+
+def layer1(spark, d):
+    return crosswalk.official_layer(A.mapping(spark, d), A.site(spark, d).where("_ord % 80 = 5 OR _ord % 3 = 0").select("site_id"))
+
+
+@register(_LAYER + "SELECT historical_id, canonical_id, 'official_mapping' AS match_method, coalesce(year_first_seen, 0) AS year_first_seen, coalesce(year_last_seen, 0) AS year_last_seen FROM layer", "site", "mapping")
+def crosswalk_layer1(spark, d):
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return layer1(spark, d).select("historical_id", "canonical_id", "match_method", zero("year_first_seen"), zero("year_last_seen"))
+
+
+@register(_LAYER + "SELECT historical_id, count(DISTINCT canonical_id) AS n_canonical FROM layer GROUP BY 1 HAVING count(DISTINCT canonical_id) > 1", "site", "mapping")
+def crosswalk_ambiguity(spark, d):
+    return crosswalk.ambiguous_ids(layer1(spark, d))
+
+
+@register(_LAYER + "SELECT length(canonical_id) AS id_length, count(*) AS n FROM layer GROUP BY 1", "site", "mapping")
+def crosswalk_lengths(spark, d):
+    return crosswalk.length_distribution(layer1(spark, d)).select(F.col("id_length").cast("long").alias("id_length"), "n")
+
+
+@register(_LAYER + "SELECT historical_id, canonical_id FROM (SELECT *, row_number() OVER (PARTITION BY historical_id ORDER BY CASE WHEN historical_id = canonical_id THEN 0 ELSE 1 END, _ord, rk) AS rn FROM layer) WHERE rn = 1", "site", "mapping")
+def crosswalk_identity_first(spark, d):
+    return dedup.identity_first(layer1(spark, d)).select("historical_id", "canonical_id")
+
+
+@register()
+def crosswalk_both_layers(spark, d):
+    known = A.site(spark, d).where("_ord % 80 = 5 OR _ord % 3 = 0").select("site_id")
+    return crosswalk.build_crosswalk(A.mapping(spark, d), clean(spark, d), known).drop("_ord")
+
+
+# --- cascades ---------------------------------------------------------------------------------------------------------
+
+_CASCADE = f""", {_CLEAN}, best AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, _ord) AS rn FROM clean WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+have AS (SELECT site_id, string_agg(source, ',' ORDER BY priority) AS sources_available FROM (SELECT DISTINCT site_id, priority, source FROM best) GROUP BY site_id),
+u AS (SELECT DISTINCT site_id FROM clean),
+casc AS (SELECT u.site_id, b.latitude, b.longitude, b.swapped, b.source AS coord_source, h.sources_available FROM u LEFT JOIN (SELECT * FROM best WHERE rn = 1) b USING (site_id) LEFT JOIN have h USING (site_id))
+"""
+
+
+def cascaded(spark, d):
+    long = clean(spark, d)
+    return cascade.priority_cascade(enrich.universe([long]), long)
+
+
+@register(_CASCADE + "SELECT site_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, coalesce(coord_source, 'none') AS coord_source, coalesce(swapped, false) AS was_swapped, coalesce(sources_available, '') AS sources_available FROM casc", "obs")
+def priority_cascade(spark, d):
+    return cascaded(spark, d).select("site_id", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), F.coalesce("coord_source", F.lit("none")).alias("coord_source"), F.coalesce("_was_swapped", F.lit(False)).alias("was_swapped"), F.coalesce("sources_available", F.lit("")).alias("sources_available"))
+
+
+@register(_CASCADE + "SELECT coalesce(coord_source, '__null__') AS key, count(*) AS value, 'coord_source' AS metric FROM casc GROUP BY 1", "obs")
+def metrics_long(spark, d):
+    return metrics.value_counts(cascaded(spark, d), ["coord_source"])
+
+
+_LOC = """, loc AS (SELECT o.*, CASE WHEN o._ord % 4 = 0 THEN NULL ELSE TRIM(r.r_name) END AS region, CASE WHEN o._ord % 8 IN (0, 1) THEN NULL ELSE TRIM(n.n_name) END AS province,
+  CASE source WHEN 'nsbi_2324' THEN 1 WHEN 'geolocation_deped' THEN 2 WHEN 'monitoring_validated' THEN 3 WHEN 'osmapaaralan' THEN 4 ELSE 5 END AS lp
+  FROM (SELECT obs.*, s.unit_key FROM obs JOIN site s USING (_ord)) o JOIN nation n ON o.unit_key = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+
+
+def located(spark, d):
+    o = A.obs(spark, d).join(A.site(spark, d).select("_ord", "unit_key"), "_ord")
+    n = A.table(spark, d, "nation").join(A.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("unit_key"), F.trim("r_name").alias("__r"), F.trim("n_name").alias("__n"))
+    return o.join(n, "unit_key").select("_ord", "priority", "source", "site_id", "site_name", F.when(F.col("_ord") % 4 != 0, F.col("__r")).alias("region"), F.when(~(F.col("_ord") % 8).isin(0, 1), F.col("__n")).alias("province"))
+
+
+@register(_LOC + """, g AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY lp, _ord) AS rn FROM loc WHERE region IS NOT NULL OR province IS NOT NULL),
+nm AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, _ord) AS rn FROM loc WHERE site_name IS NOT NULL)
+SELECT u.site_id, coalesce(g.region, '-') AS region, coalesce(g.province, '-') AS province, coalesce(g.source, '-') AS location_source, coalesce(nm.site_name, '-') AS site_name
+FROM (SELECT DISTINCT site_id FROM loc) u LEFT JOIN (SELECT * FROM g WHERE rn = 1) g USING (site_id) LEFT JOIN (SELECT * FROM nm WHERE rn = 1) nm USING (site_id)""", "site", "obs")
+def location_cascade(spark, d):
+    long = located(spark, d)
+    u = cascade.group_cascade(enrich.universe([long]), long, ("region", "province"))
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    return cascade.column_cascade(u, long, "site_name").select("site_id", dash("region"), dash("province"), dash("location_source"), dash("site_name"))
+
+
+@register(""", u AS (SELECT DISTINCT site_id FROM obs WHERE source = 'osmapaaralan'), e AS (SELECT CAST(100000 + s_suppkey * 7 AS VARCHAR) AS site_id FROM supplier UNION SELECT site_id FROM site WHERE _ord % 10 = 9),
+x AS (SELECT site_id, false AS from_enrollment FROM u UNION ALL SELECT site_id, true FROM e WHERE site_id NOT IN (SELECT site_id FROM u))
+SELECT site_id, from_enrollment, CASE WHEN from_enrollment OR site_id IN (SELECT site_id FROM e) THEN 'active' ELSE 'no_enrollment_reported' END AS enrollment_status FROM x""", "site", "obs")
+def enrollment_expansion(spark, d):
+    u = enrich.universe([A.obs(spark, d).where("source = 'osmapaaralan'")])
+    e = enrich.union_ids(A.table(spark, d, "supplier").select((100000 + F.col("s_suppkey") * 7).cast("string").alias("site_id")), A.site(spark, d).where("_ord % 10 = 9"))
+    return enrich.tag_membership(enrich.expand_universe(u, e), e, override="from_enrollment").select("site_id", "from_enrollment", "enrollment_status")
+
+
+_HAV = "2 * 6371 * asin(least(1.0, sqrt(sin(radians(b.latitude - a.latitude) / 2) * sin(radians(b.latitude - a.latitude) / 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * sin(radians(b.longitude - a.longitude) / 2) * sin(radians(b.longitude - a.longitude) / 2))))"
+
+
+@register(f""", {_CLEAN} SELECT a.site_id, a.source AS source_a, b.source AS source_b, round({_HAV}, 4) AS distance_km FROM clean a JOIN clean b ON a.site_id = b.site_id AND a.priority < b.priority
+WHERE a.latitude IS NOT NULL AND b.latitude IS NOT NULL AND {_HAV} > 1""", "obs")
+def source_discrepancy(spark, d):
+    return cascade.source_discrepancies(clean(spark, d)).withColumn("distance_km", F.round("distance_km", 4))
+
+
+# --- spatial ----------------------------------------------------------------------------------------------------------
+
+
+def near_tables(spark, d):
+    s = A.site(spark, d).select("_ord", "site_id", "site_name", F.col("lat0").alias("latitude"), F.col("lon0").alias("longitude"))
+    o = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k")).join(s, F.col("k") == F.col("_ord"))
+    near = o.select("_ord", F.concat(F.lit("S"), "site_id").alias("site_id"), F.concat(F.lit("Barrio "), (F.col("_ord") % 40).cast("string"), F.lit(" E.S.")).alias("site_name"), (F.col("latitude") + (F.col("_ord") % 5) / 4000.0).alias("latitude"), (F.col("longitude") + 0.0001).alias("longitude"))
+    return near, s
+
+
+_NEAR = """, b0 AS (SELECT _ord, site_id, site_name, lat0 AS latitude, lon0 AS longitude FROM site),
+a0 AS (SELECT _ord, 'S' || site_id AS site_id, 'Barrio ' || CAST(_ord % 40 AS VARCHAR) || ' E.S.' AS site_name, latitude + CAST(_ord % 5 AS DOUBLE) / 4000.0 AS latitude, longitude + 0.0001 AS longitude FROM b0 JOIN supplier ON s_suppkey = _ord)
+"""
+
+
+@register(_NEAR + f"SELECT a.site_id AS l_site_id, b.site_id AS r_site_id, round({_HAV}, 6) AS distance_km FROM a0 a, b0 b WHERE abs(a.latitude - b.latitude) < 0.002 AND {_HAV} <= 0.1", "site")
+def spatial_near_pairs(spark, d):
+    a, b = near_tables(spark, d)
+    return crosswalk.near_pairs(a, b).select("l_site_id", "r_site_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@register()
+def spatial_name_match(spark, d):
+    a, b = near_tables(spark, d)
+    return crosswalk.spatial_name_match(a, b).select("l_site_id", "r_site_id", F.round("similarity", 6).alias("similarity"))
+
+
+@register(_NEAR + f""", p AS (SELECT a.site_id AS l, b.site_id AS r, b._ord AS o, 1 - CAST(levenshtein(lower(a.site_name), lower(b.site_name)) AS DOUBLE) / greatest(length(a.site_name), length(b.site_name)) AS s FROM a0 a, b0 b WHERE abs(a.latitude - b.latitude) < 0.002 AND {_HAV} <= 0.1)
+SELECT l AS l_site_id, r AS r_site_id, round(s, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY l ORDER BY s DESC, o) AS rn FROM p WHERE s >= 0.6) WHERE rn = 1""", "site")
+def spatial_levenshtein_match(spark, d):
+    a, b = near_tables(spark, d)
+    return crosswalk.spatial_levenshtein_match(a, b).select("l_site_id", "r_site_id", F.round("similarity", 6).alias("similarity"))
+
+
+#: In SQL the triangles have a closed form; Spark uses the ray test on rings.
+_HITS = f""", {_CLEAN}, pts AS (SELECT source || ':' || CAST(_ord AS VARCHAR) AS pid, clean._ord AS o, clean.priority, clean.source, clean.site_id, latitude, longitude, swapped, substr(s.claimed_adm3_10, 1, 7) AS claimed FROM clean JOIN (SELECT _ord, claimed_adm3_10 FROM site) s USING (_ord)),
+hits AS (SELECT pts.*, adm3, adm4, polygon_ord FROM pts JOIN poly ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y0 + 2 AND CASE WHEN tri = 0 THEN latitude - y0 < 2 * (longitude - x0) ELSE latitude - y0 > 2 * (longitude - x0) END),
+picked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY CASE WHEN adm3 = claimed THEN 0 ELSE 1 END, polygon_ord) AS rn FROM hits) WHERE rn = 1)
+"""
+
+
+def points(spark, d):
+    s = A.site(spark, d).select("_ord", F.substring("claimed_adm3_10", 1, 7).alias("claimed_adm3"))
+    return clean(spark, d).join(s, "_ord").withColumn("pid", F.concat_ws(":", "source", F.col("_ord").cast("string")))
+
+
+@register(_HITS + "SELECT pts.pid, coalesce(picked.adm3, '-') AS observed_adm3, coalesce(picked.adm4, '-') AS observed_adm4 FROM pts LEFT JOIN picked USING (pid)", "site", "obs", "poly")
+def point_in_polygon(spark, d):
+    out = spatial.point_in_polygon(points(spark, d), A.poly(spark, d), "pid")
+    return out.select("pid", F.coalesce("observed_adm3", F.lit("-")).alias("observed_adm3"), F.coalesce("observed_adm4", F.lit("-")).alias("observed_adm4"))
+
+
+_RECT = """, unit AS (SELECT DISTINCT adm3, x0, x1, y0, y0 + 2 AS y1 FROM poly),
+near AS (SELECT DISTINCT pid FROM pts JOIN unit ON adm3 = claimed WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND sqrt(pow(greatest(x0 - longitude, 0, longitude - x1), 2) + pow(greatest(y0 - latitude, 0, latitude - y1), 2)) < 0.002)
+"""
+
+
+@register(_HITS + _RECT + "SELECT pid FROM near", "site", "obs", "poly")
+def boundary_buffer(spark, d):
+    return spatial.within_buffer(points(spark, d), A.poly(spark, d), "pid")
+
+
+_VALID = """, st AS (SELECT pts.*, picked.adm3, picked.adm4, CASE WHEN latitude IS NULL OR longitude IS NULL THEN 'no_coords' WHEN swapped THEN 'fixed_swap' ELSE 'valid' END AS s0 FROM pts LEFT JOIN (SELECT pid, adm3, adm4 FROM picked) picked USING (pid)),
+val AS (SELECT *, CASE WHEN s0 = 'no_coords' THEN 'no_coordinate_source' WHEN adm3 IS NULL THEN 'outside_all_polygons' WHEN substr(adm3, 1, 7) <> claimed AND pid NOT IN (SELECT pid FROM near) THEN 'wrong_municipality' END AS reason FROM st),
+v AS (SELECT *, CASE WHEN reason IN ('outside_all_polygons', 'wrong_municipality') THEN 'suspect' ELSE s0 END AS status FROM val)
+"""
+
+
+def validated(spark, d):
+    p = quality.init_status(spatial.point_in_polygon(points(spark, d), A.poly(spark, d), "pid"))
+    return quality.flag_wrong_unit(quality.flag_outside(p), A.poly(spark, d), "pid")
+
+
+@register(_HITS + _RECT + _VALID + "SELECT pid, status AS coord_status, coalesce(reason, '-') AS coord_rejection_reason FROM v", "site", "obs", "poly")
+def municipal_validation(spark, d):
+    return validated(spark, d).select("pid", "coord_status", F.coalesce("coord_rejection_reason", F.lit("-")).alias("coord_rejection_reason"))
+
+
+@register(_HITS + _RECT + _VALID + "SELECT pid, CASE WHEN status IN ('valid', 'fixed_swap') AND adm3 IS NOT NULL THEN CASE WHEN adm3 = claimed THEN 'match' ELSE 'mismatch' END ELSE 'no_validation' END AS psgc_validation FROM v", "site", "obs", "poly")
+def code_validation(spark, d):
+    return quality.validate_codes(validated(spark, d), "claimed_adm3", "observed_adm3").select("pid", "psgc_validation")
+
+
+_FALL = """, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY priority) AS rn FROM v WHERE latitude IS NOT NULL AND longitude IS NOT NULL) WHERE rn = 1),
+tries AS (SELECT b.o, v.source, v.latitude, v.longitude, v.adm3, v.adm4, v.priority, row_number() OVER (PARTITION BY b.o ORDER BY v.priority) AS rn FROM best b JOIN v ON b.o = v.o AND v.priority > b.priority WHERE b.status = 'suspect' AND v.pid IN (SELECT pid FROM near))
+"""
+
+
+def by_site(spark, d):
+    """Observations under the site they are of, whatever ID they carry."""
+    return points(spark, d).withColumn("site_id", F.col("_ord").cast("string"))
+
+
+@register(_HITS + _RECT + _VALID + _FALL + """SELECT CAST(b.o AS VARCHAR) AS site_id, coalesce(t.source, b.source) AS coord_source, CASE WHEN t.o IS NULL THEN '-' ELSE b.source END AS coord_fallback_from,
+  CASE WHEN t.o IS NULL THEN b.status ELSE 'valid' END AS coord_status, CASE WHEN t.o IS NULL THEN coalesce(b.reason, '-') ELSE '-' END AS coord_rejection_reason, round(coalesce(t.latitude, b.latitude), 6) AS latitude, coalesce(t.adm4, b.adm4, '-') AS observed_adm4
+FROM best b LEFT JOIN (SELECT * FROM tries WHERE rn = 1) t ON b.o = t.o""", "site", "obs", "poly")
+def cascade_fallback(spark, d):
+    long, poly = by_site(spark, d), A.poly(spark, d)
+    u = long.groupBy("site_id").agg(F.min("claimed_adm3").alias("claimed_adm3"))
+    one = cascade.priority_cascade(u, long).where("coord_source is not null")
+    ready = quality.flag_wrong_unit(quality.flag_outside(quality.init_status(spatial.point_in_polygon(one, poly))), poly)
+    out = cascade.cascade_fallback(ready, long, poly)
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    return out.select("site_id", "coord_source", dash("coord_fallback_from"), "coord_status", dash("coord_rejection_reason"), F.round("latitude", 6).alias("latitude"), dash("observed_adm4"))
+
+
+# --- suspect coordinates ----------------------------------------------------------------------------------------------
+
+_PLACE = "((abs(latitude - 14.57929) < 0.001 AND abs(longitude - 121.06494) < 0.001) OR (abs(latitude - 14.61789) < 0.001 AND abs(longitude - 121.10269) < 0.001))"
+_DEC = "length(regexp_extract(rtrim(printf('%.10f', {c}), '0'), '\\.([0-9]+)$', 1))"
+_SUSPECT = f""", q1 AS (SELECT *, coord_status IN ('valid', 'fixed_swap') AS t, coalesce({_PLACE}, false) AS ph FROM published),
+cl AS (SELECT round_even(latitude, 5) AS a, round_even(longitude, 5) AS b FROM q1 WHERE t AND NOT ph AND latitude IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 3 AND count(DISTINCT lower(municipality)) > 1),
+q2 AS (SELECT q1.*, cl.a IS NOT NULL AS c FROM q1 LEFT JOIN cl ON round_even(latitude, 5) = cl.a AND round_even(longitude, 5) = cl.b),
+q3 AS (SELECT *, CASE WHEN t AND ph THEN 'placeholder_default' WHEN t AND c THEN 'coordinate_cluster' WHEN t AND {_DEC.format(c="latitude")} < 3 AND {_DEC.format(c="longitude")} < 3 THEN 'round_coordinates' END AS flag FROM q2)
+"""
+
+
+@register(f"SELECT site_id, CASE WHEN coord_status IN ('valid', 'fixed_swap') AND coalesce({_PLACE}, false) THEN 'placeholder_default' ELSE coalesce(coord_rejection_reason, '-') END AS reason FROM published", "published")
+def suspect_placeholder(spark, d):
+    return quality.flag_placeholder(A.published(spark, d)).select("site_id", F.coalesce("coord_rejection_reason", F.lit("-")).alias("reason"))
+
+
+@register(_SUSPECT.replace("AND NOT ph ", "") + "SELECT site_id, CASE WHEN t AND c THEN 'coordinate_cluster' ELSE coalesce(coord_rejection_reason, '-') END AS reason FROM q2", "published")
+def suspect_cluster(spark, d):
+    return quality.flag_cluster(A.published(spark, d)).select("site_id", F.coalesce("coord_rejection_reason", F.lit("-")).alias("reason"))
+
+
+@register(f"SELECT site_id, CASE WHEN coord_status IN ('valid', 'fixed_swap') AND {_DEC.format(c='latitude')} < 3 AND {_DEC.format(c='longitude')} < 3 THEN 'round_coordinates' ELSE coalesce(coord_rejection_reason, '-') END AS reason FROM published", "published")
+def suspect_round(spark, d):
+    return quality.flag_round(A.published(spark, d)).select("site_id", F.coalesce("coord_rejection_reason", F.lit("-")).alias("reason"))
+
+
+@register(_SUSPECT + "SELECT site_id, CASE WHEN flag IS NULL THEN coord_status ELSE 'suspect' END AS coord_status, coalesce(flag, coord_rejection_reason, '-') AS reason FROM q3", "published")
+def suspect_sequential(spark, d):
+    return quality.detect_suspect(A.published(spark, d)).select("site_id", "coord_status", F.coalesce("coord_rejection_reason", F.lit("-")).alias("reason"))
+
+
+@register(f""", x AS (SELECT _ord, site_id, source, {_SWAPPED} AS sw, CASE WHEN {_SWAPPED} THEN longitude ELSE latitude END AS la, CASE WHEN {_SWAPPED} THEN latitude ELSE longitude END AS lo FROM obs),
+y AS (SELECT *, la = 0 OR lo = 0 OR abs(la) > 90 OR abs(lo) > 180 AS bad FROM x),
+z AS (SELECT *, CASE WHEN bad THEN 'invalid' WHEN NOT (la BETWEEN 4.5 AND 21.5 AND lo BETWEEN 116 AND 127) THEN 'out_of_bounds' END AS reason FROM y)
+SELECT source, _ord, CASE WHEN reason IS NOT NULL THEN 'no_coords' WHEN sw THEN 'fixed_swap' ELSE 'valid' END AS coord_status_0, coalesce(reason, '-') AS reason_0 FROM z""", "obs")
+def self_reported_validity(spark, d):
+    """The passes before the suspect ones; those add reasons of their own, which don't show here."""
+    out = quality.clean_self_reported(A.obs(spark, d).withColumn("municipality", F.col("site_id")))
+    suspect = F.col("coord_status") == "suspect"
+    return out.select("source", "_ord", F.when(suspect, F.when(F.col("_was_swapped"), "fixed_swap").otherwise("valid")).otherwise(F.col("coord_status")).alias("coord_status_0"), F.when(suspect, "-").otherwise(F.coalesce("coord_rejection_reason", F.lit("-"))).alias("reason_0"))
+
+
+@register("""SELECT p_partkey, coalesce(code, '-') AS code, n > 1 AND code IS NOT NULL AS is_multi, code IS NULL AS is_missing FROM (SELECT *, count(*) OVER (PARTITION BY code) AS n FROM (SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_brand || CAST(p_size AS VARCHAR) END AS code FROM part))""")
+def multi_campus(spark, d):
+    p = A.table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 9 != 0, F.concat("p_brand", F.col("p_size").cast("string"))).alias("code"))
+    return quality.flag_multi(p).select("p_partkey", F.coalesce("code", F.lit("-")).alias("code"), "is_multi", quality.is_missing("code").alias("is_missing"))
+
+
+# --- metrics and reports ----------------------------------------------------------------------------------------------
+
+
+@register(""", a AS (SELECT 'coord_status' AS metric, coord_status AS key, count(*) AS n FROM published WHERE _ord % 10 <> 3 GROUP BY 2 UNION ALL SELECT 'coord_rejection_reason', coalesce(coord_rejection_reason, '__null__'), count(*) FROM published WHERE _ord % 10 <> 3 GROUP BY 2),
+b AS (SELECT 'coord_status' AS metric, coord_status AS key, count(*) AS n FROM published WHERE coord_status <> 'fixed_swap' GROUP BY 2 UNION ALL SELECT 'coord_rejection_reason', coalesce(coord_rejection_reason, '__null__'), count(*) FROM published WHERE coord_status <> 'fixed_swap' GROUP BY 2)
+SELECT coalesce(a.metric, b.metric) AS metric, coalesce(a.key, b.key) AS key, coalesce(a.n, 0) AS before, coalesce(b.n, 0) AS after, CASE WHEN a.n IS NULL THEN 'ADDED' WHEN b.n IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change
+FROM a FULL JOIN b ON a.metric = b.metric AND a.key = b.key WHERE a.n IS DISTINCT FROM b.n""", "published")
+def metrics_diff(spark, d):
+    p, cols = A.published(spark, d), ["coord_status", "coord_rejection_reason"]
+    diff = metrics.diff_metrics(metrics.value_counts(p.where("_ord % 10 <> 3"), cols), metrics.value_counts(p.where("coord_status <> 'fixed_swap'"), cols))
+    return diff.select("metric", "key", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"), "change")
+
+
+@register("SELECT region, count(*) AS n, count(*) FILTER (WHERE coord_status IN ('valid', 'fixed_swap')) AS n_reliable, round(100.0 * count(*) FILTER (WHERE coord_status IN ('valid', 'fixed_swap')) / count(*), 1) AS share FROM published GROUP BY 1 ORDER BY n DESC, region LIMIT 18", "published")
+def regional_coverage(spark, d):
+    return metrics.regional_coverage(A.published(spark, d))
+
+
+@register("SELECT coord_status, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM published GROUP BY 1", "published")
+def status_shares(spark, d):
+    return metrics.shares(A.published(spark, d), "coord_status")
+
+
+@register("""SELECT 'rows' AS metric, 'total' AS key, count(*) AS value FROM published UNION ALL SELECT 'with_coordinates', 'total', count(coord_source) FROM published UNION ALL SELECT 'without_coordinates', 'total', count(*) - count(coord_source) FROM published
+UNION ALL SELECT 'coord_status', coord_status, count(*) FROM published GROUP BY 2 UNION ALL SELECT 'coord_rejection_reason', coalesce(coord_rejection_reason, '__null__'), count(*) FROM published GROUP BY 2
+UNION ALL SELECT 'coord_source', coalesce(coord_source, '__null__'), count(*) FROM published GROUP BY 2 UNION ALL SELECT 'enrollment_status', enrollment_status, count(*) FROM published GROUP BY 2 UNION ALL SELECT 'id_length', CAST(length(site_id) AS VARCHAR), count(*) FROM published GROUP BY 2""", "published")
+def public_metrics(spark, d):
+    return metrics.public_metrics(A.published(spark, d))
+
+
+# --- search -----------------------------------------------------------------------------------------------------------
+
+
+@register("SELECT site_id, score FROM (SELECT site_id, CASE WHEN site_id = 'barrio 1' THEN 0 WHEN lower(site_name) LIKE 'barrio 1%' THEN 1 WHEN contains(lower(site_name), 'barrio 1') THEN 2 END AS score FROM published) WHERE score IS NOT NULL", "published")
+def search_ranked(spark, d):
+    return search.search(A.published(spark, d), "barrio 1").select("site_id", "score")
+
+
+@register("SELECT 'region' AS level, '-' AS parent, region AS value FROM published UNION SELECT 'province', region, province FROM published UNION SELECT 'municipality', province, municipality FROM published UNION SELECT 'barangay', municipality, barangay FROM published", "published")
+def filter_options(spark, d):
+    return search.all_options(A.published(spark, d)).withColumn("parent", F.coalesce("parent", F.lit("-")))
+
+
+_SUM = """count(*) AS total, count(*) FILTER (WHERE sector = 'public') AS public, count(*) FILTER (WHERE sector = 'private') AS private, count(latitude) AS with_coordinates, count(*) - count(latitude) AS without_coordinates,
+round(100.0 * count(latitude) / count(*), 1) AS coverage_pct, count(*) FILTER (WHERE enrollment_status = 'active') AS active_enrollment, count(*) FILTER (WHERE enrollment_status = 'no_enrollment_reported') AS no_enrollment_reported"""
+
+
+@register(f"SELECT coalesce(region, '*') AS region, coalesce(province, '*') AS province, coalesce(municipality, '*') AS municipality, {_SUM}, CAST(grouping(region, province, municipality) AS BIGINT) AS depth FROM published GROUP BY ROLLUP (region, province, municipality)", "published")
+def area_summary(spark, d):
+    star = lambda c: F.coalesce(c, F.lit("*"))
+    return search.area_summaries(A.published(spark, d)).withColumns({c: star(c) for c in ("region", "province", "municipality")})
+
+
+@register("SELECT count(*) AS total, count(*) FILTER (WHERE sector = 'public') AS public, count(*) FILTER (WHERE sector = 'private') AS private, count(latitude) AS with_coordinates, count(*) FILTER (WHERE enrollment_status = 'active') AS active FROM published", "published")
+def site_stats(spark, d):
+    return search.stats(A.published(spark, d))
+
+
+@register("SELECT site_id, region FROM published WHERE sector = 'public' AND lower(trim(region)) = 'asia' AND latitude IS NOT NULL AND enrollment_status = 'active'", "published")
+def filter_exact(spark, d):
+    return search.filter_sites(A.published(spark, d), sector="Public", region=" asia ", has_coordinates=True, enrollment_status="active").select("site_id", "region")
+
+
+@register(""", g AS (SELECT province, latitude AS a, longitude AS o, count(*) OVER (PARTITION BY province) AS n, row_number() OVER (PARTITION BY province ORDER BY latitude) - 1 AS ra, row_number() OVER (PARTITION BY province ORDER BY longitude) - 1 AS ro FROM published WHERE latitude IS NOT NULL),
+q AS (SELECT province, max(n) AS n, max(CASE WHEN ra = floor(n * 0.25) THEN a END) AS a1, max(CASE WHEN ra = floor(n * 0.75) THEN a END) AS a3, max(CASE WHEN ro = floor(n * 0.25) THEN o END) AS o1, max(CASE WHEN ro = floor(n * 0.75) THEN o END) AS o3 FROM g GROUP BY province),
+f AS (SELECT g.*, a BETWEEN a1 - 2 * (a3 - a1) AND a3 + 2 * (a3 - a1) AND o BETWEEN o1 - 2 * (o3 - o1) AND o3 + 2 * (o3 - o1) AS ok FROM g JOIN q USING (province)),
+b AS (SELECT province, max(n) AS n, max(n) <= 3 OR count(*) FILTER (WHERE ok) < max(n) * 0.5 AS every, min(a) AS a0, max(a) AS a9, min(o) AS o0, max(o) AS o9, min(a) FILTER (WHERE ok) AS i0, max(a) FILTER (WHERE ok) AS i9, min(o) FILTER (WHERE ok) AS j0, max(o) FILTER (WHERE ok) AS j9 FROM f GROUP BY province)
+SELECT province, n, round(CASE WHEN every THEN a0 ELSE i0 END, 6) AS lat_min, round(CASE WHEN every THEN a9 ELSE i9 END, 6) AS lat_max, round(CASE WHEN every THEN o0 ELSE j0 END, 6) AS lon_min, round(CASE WHEN every THEN o9 ELSE j9 END, 6) AS lon_max FROM b""", "published")
+def robust_bounds(spark, d):
+    return search.robust_bounds(A.published(spark, d), ["province"]).select("province", "n", *[F.round(c, 6).alias(c) for c in ("lat_min", "lat_max", "lon_min", "lon_max")])
+
+
+@register(""", h AS (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY _ord) - 1 AS p, count(*) OVER (PARTITION BY sector) AS size, count(*) OVER () AS total, count(*) FILTER (WHERE sector = 'public') OVER () AS pub FROM published WHERE latitude IS NOT NULL),
+s AS (SELECT *, CASE WHEN total <= 300 THEN size WHEN sector = 'public' THEN floor(pub / total * 300 + 0.5) ELSE 300 - floor(pub / total * 300 + 0.5) END AS slots FROM h)
+SELECT site_id, sector FROM s WHERE size <= slots OR (floor(ceil(p / (size / slots)) * (size / slots)) = p AND ceil(p / (size / slots)) < slots)""", "published")
+def stratified_cap(spark, d):
+    return search.stratified_cap(A.published(spark, d), n=300).select("site_id", "sector")
+
+
+@register("""SELECT site_id, CASE WHEN latitude IS NULL THEN 'no_coords' WHEN coord_status = 'suspect' AND coord_rejection_reason IN ('placeholder_default', 'coordinate_cluster') THEN 'fake' WHEN coord_status = 'suspect' AND coord_rejection_reason = 'outside_all_polygons' THEN 'outside'
+  WHEN coord_status = 'suspect' AND coord_rejection_reason IN ('wrong_municipality', 'round_coordinates') THEN 'investigate' WHEN coord_status IN ('valid', 'fixed_swap') THEN 'confident' ELSE 'unknown' END AS severity FROM published""", "published")
+def severity_classes(spark, d):
+    return search.severity(A.published(spark, d)).select("site_id", "severity")
+
+
+# --- audit ------------------------------------------------------------------------------------------------------------
+
+
+@register("SELECT change, CASE WHEN change = 'added' THEN '-' ELSE coalesce(a, '-') END AS value_before, CASE WHEN change = 'removed' THEN '-' ELSE coalesce(b, '-') END AS value_after, count(*) AS n FROM (SELECT x.coord_status AS a, y.coord_status AS b, CASE WHEN x.site_id IS NULL THEN 'added' WHEN y.site_id IS NULL THEN 'removed' ELSE 'kept' END AS change FROM (SELECT * FROM published WHERE _ord % 7 <> 1) x FULL JOIN (SELECT site_id, CASE WHEN _ord % 13 = 0 THEN 'suspect' ELSE coord_status END AS coord_status FROM published WHERE _ord % 5 <> 2) y ON x.site_id = y.site_id) GROUP BY 1, 2, 3", "published")
+def snapshot_compare(spark, d):
+    p = A.published(spark, d)
+    after = p.where("_ord % 5 <> 2").withColumn("coord_status", F.when(F.col("_ord") % 13 == 0, "suspect").otherwise(F.col("coord_status")))
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    return audit.compare_snapshots(p.where("_ord % 7 <> 1"), after, "coord_status").select("change", dash("value_before"), dash("value_after"), "n")
+
+
+@register("SELECT site_id FROM published WHERE sector = 'public' INTERSECT SELECT CAST(100000 + s_suppkey * 3 AS VARCHAR) FROM supplier", "published")
+def overlapping_ids(spark, d):
+    other = A.table(spark, d, "supplier").select((100000 + F.col("s_suppkey") * 3).cast("string").alias("site_id"))
+    return audit.overlapping_ids(A.published(spark, d).where("sector = 'public'"), other)
+
+
+@register("""SELECT 'a' AS scope, site_name, count(*) AS n, 1 AS n_places FROM published GROUP BY site_name, region, province, municipality, barangay HAVING count(*) > 1
+UNION ALL SELECT 'b', site_name, count(*), count(DISTINCT barangay) FROM published GROUP BY site_name, region, province, municipality HAVING count(DISTINCT barangay) > 1
+UNION ALL SELECT 'c', site_name, count(*), count(DISTINCT municipality) FROM published GROUP BY site_name, region, province HAVING count(DISTINCT municipality) > 1
+UNION ALL SELECT 'd', site_name, count(*), count(DISTINCT province) FROM published GROUP BY site_name, region HAVING count(DISTINCT province) > 1""", "published")
+def duplicate_name_scopes(spark, d):
+    p, out = A.published(spark, d), None
+    for scope in audit.SCOPES:
+        part = audit.duplicate_names(p, scope).select(F.lit(scope).alias("scope"), "site_name", "n", "n_places")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("""SELECT municipality, k AS name_key, count(DISTINCT site_name) AS n_names, count(*) AS n FROM (SELECT municipality, site_name, CASE WHEN site_name LIKE '% ES' THEN lower(substr(site_name, 1, length(site_name) - 3)) || ' elementary school' ELSE lower(site_name) END AS k FROM (SELECT _ord, municipality, regexp_replace(site_name, 'Barrio [0-9]+', 'Barrio ' || CAST(_ord % 15 AS VARCHAR)) AS site_name FROM published)) GROUP BY 1, 2 HAVING count(DISTINCT site_name) > 1""", "published")
+def near_identical_names(spark, d):
+    p = A.published(spark, d).withColumn("site_name", F.concat(F.lit("Barrio "), (F.col("_ord") % 15).cast("string"), F.when(F.col("_ord") % 2 == 0, " Elementary School").otherwise(" ES")))
+    return audit.near_identical_names(p)
+
+
+@register(""", x AS (SELECT site_id, site_name FROM published UNION ALL SELECT '1' || site_id, CASE WHEN _ord % 2 = 0 THEN site_name ELSE 'Other' END FROM published WHERE _ord % 10 = 4)
+SELECT a.site_id AS short_id, b.site_id AS long_id, CASE WHEN a.site_name = b.site_name THEN 'same_name' ELSE 'different_name' END AS kind FROM x a JOIN x b ON b.site_id = '1' || a.site_id""", "published")
+def prefixed_id_pairs(spark, d):
+    p = A.published(spark, d)
+    more = p.where("_ord % 10 = 4").select(F.concat(F.lit("1"), "site_id").alias("site_id"), F.when(F.col("_ord") % 2 == 0, F.col("site_name")).otherwise(F.lit("Other")).alias("site_name"))
+    return audit.prefixed_pairs(p.select("site_id", "site_name").unionByName(more)).select("short_id", "long_id", "kind")
+
+
+@register(f""", x AS (SELECT site_id, site_name, latitude, longitude FROM published UNION ALL SELECT 'D' || site_id, site_name, latitude + CAST(_ord % 7 AS DOUBLE) / 10000, longitude FROM published WHERE _ord % 10 = 4)
+SELECT a.site_id AS l_site_id, b.site_id AS r_site_id FROM x a JOIN x b ON a.site_name = b.site_name AND a.site_id < b.site_id WHERE a.latitude IS NOT NULL AND b.latitude IS NOT NULL AND abs(a.latitude - b.latitude) < 0.01 AND {_HAV} <= 0.05""", "published")
+def near_duplicate_sites(spark, d):
+    p = A.published(spark, d).select("_ord", "site_id", "site_name", "latitude", "longitude")
+    moved = p.where("_ord % 10 = 4").withColumns({"site_id": F.concat(F.lit("D"), "site_id"), "latitude": F.col("latitude") + (F.col("_ord") % 7).cast("double") / 10000})
+    return audit.near_duplicates(p.unionByName(moved)).select("l_site_id", "r_site_id")
+
+
+# --- whole pipelines --------------------------------------------------------------------------------------------------
+
+
+@register()
+def pipeline_multi_source(spark, d):
+    return pipelines.multi_source(by_site(spark, d), A.poly(spark, d), A.published(spark, d).select(F.col("_ord").cast("string").alias("site_id"), "region", "municipality"))
+
+
+@register()
+def pipeline_self_reported(spark, d):
+    u = A.published(spark, d).select("site_id", "site_name", "region", "municipality", "sector")
+    o = A.obs(spark, d).where("source = 'nsbi_2324'").select("site_id", "latitude", "longitude", "_ord").join(u.select("site_id", "municipality"), "site_id", "left")
+    return pipelines.self_reported(u, o, A.poly(spark, d), A.site(spark, d).select("site_id", F.substring("claimed_adm3_10", 1, 7).alias("claimed_adm3")))
+
+
+@register("""SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS kind, count(*) AS n, round(avg(l_extendedprice * (1 - l_discount)), 2) AS mean_price FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def lookup_join_aggregate(spark, d):
+    """The plain shape under most of these operators: a lookup join, then an aggregate, at the size of the largest table."""
+    o = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    rows = A.table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount").join(o, "l_orderkey")
+    return rows.groupBy(F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("mean_price"))
