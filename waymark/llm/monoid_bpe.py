@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from waymark.llm.common import map_text, texts
 
 #: Bytes of a leaf: so few that most leaves have been met before.
-LEAF = 6
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+LEAF = 12
+REMEMBERED, REMEMBERED_CHARS = 600_000, 48
 
 
 class MonoidBpe:
@@ -40,7 +40,7 @@ class MonoidBpe:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.text_of = {i: str(i) for i in ranks.values()}
         self.pattern = regex.compile(pattern)
-        self.pairs: dict[tuple[int, int], list[int]] = {}
+        self.pairs: dict[int, list[int]] = {}
         self.leaves: dict[bytes, list[int]] = {}
         self.units = _Units(self)
 
@@ -87,11 +87,11 @@ class MonoidBpe:
 
     def seam(self, a: int, b: int) -> list[int]:
         """The encoding of the bytes of two tokens; [a, b] itself if they are compatible."""
-        found = self.pairs.get((a, b))
+        found = self.pairs.get(a << 32 | b)
         if found is None:
             if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
-            found = self.pairs[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b])
+            found = self.pairs[a << 32 | b] = self.merge(self.bytes_of[a] + self.bytes_of[b])
         return found
 
     def compatible(self, a: int, b: int) -> bool:
@@ -143,39 +143,37 @@ class MonoidBpe:
 
 
 class _Units(dict):
-    """Ids of a unit (see split_units), filled as asked for."""
+    """Ids of a unit (see split_units) or of a piece, filled as asked for."""
 
     def __init__(self, bpe: MonoidBpe) -> None:
-        self.bpe, self.pieces = bpe, {}
+        self.bpe = bpe
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for m in self.bpe.pattern.findall(unit):
-            ids = self.pieces.get(m)
-            if ids is None:
-                ids = self.bpe.piece(m.encode())
-                if len(m) <= REMEMBERED_CHARS:
-                    if len(self.pieces) >= REMEMBERED:
-                        self.pieces.clear()
-                    self.pieces[m] = ids
-            out += ids
-        ids = tuple(out)
-        if len(unit) <= REMEMBERED_CHARS:
+    def put(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(key) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
                 self.clear()
-            self[unit] = ids
+            self[key] = ids
         return ids
 
+    def __missing__(self, unit: str) -> tuple[int, ...]:
+        pieces = self.bpe.pattern.findall(unit)
+        if len(pieces) == 1:
+            return self.put(unit, tuple(self.bpe.piece(unit.encode())))
+        out: list[int] = []
+        for m in pieces:
+            ids = self.get(m)
+            out += self.put(m, tuple(self.bpe.piece(m.encode()))) if ids is None else ids
+        return self.put(unit, tuple(out))
+
 
 #: A single space between two characters that are neither white space nor controls starts a match of the pattern whatever stands
 #: around it: no class of the pattern takes a space but as the first character of a match or within white space.
 _SEAM = regex.compile(r"(?<=[^\s\x00-\x1F\x7F-\xA0])(?= [^\s\x00-\x1F\x7F-\xA0])", regex.V1)
-_SEAM_UNSAFE = regex.compile(r" [\s\x00-\x1F\x7F-\xA0]|[\s\x00-\x1F\x7F-\xA0] ")
 
 
 def split_units(text: str) -> list[str]:
     """text in units that the pattern can be matched on separately."""
-    if text[0] == " " or text[-1] == " " or _SEAM_UNSAFE.search(text):
+    if text[0] == " " or text[-1] == " " or "  " in text or "\n " in text or " \n" in text or not text.replace("\n", "").isprintable():
         return _SEAM.split(text)
     first, *rest = text.split(" ")
     return [first, *[" " + w for w in rest]]
