@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -37,6 +38,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files of finished steps go as soon as nothing refers to them, rather than when the driver's heap happens to fill."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just id and text, under fixed names, so that other columns can't clash."""
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))

@@ -22,7 +22,6 @@ no pairs are made. Texts are joined to their open blocks by a 96-bit key of id a
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import Names, mix, slices, stored
+from waymark.llm.common import Names, let_go, mix, slices, stored
 
 _KEY = "k1 long, k2 int"
 _ROW = f"bucket long, u1 long, u2 long, {_KEY}, at long"
@@ -146,12 +145,14 @@ def _next_round(scheme: Scheme, level: int) -> Callable:
 
 def _settle(rows: Callable[[], DataFrame], scheme: Scheme, level: int) -> tuple[DataFrame, DataFrame]:
     """One round: keys and blocks found to be repeated, and blocks still open with the representatives they are to be compared with."""
-    shared = rows().groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    # stored, so that the join below has an exchange of its own on both sides and Spark can split a bucket of very many rows
+    shared = stored(rows().groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), f"{scheme.name}-shared{level}")
+    let_go(shared.sparkSession)
     members = stored(rows().join(shared, "bucket", "left_semi"), f"{scheme.name}-members{level}")
-    _let_go(members)
+    let_go(members.sparkSession)
     classes = members.groupBy("bucket", "u1", "u2").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one"))
     classes = stored(classes, f"{scheme.name}-classes{level}")
-    _let_go(classes)
+    let_go(classes.sparkSession)
     twice = classes.where("n > 1").select("bucket", "u1", "u2")
     done = members.where("at & 1 = 1").join(twice, ["bucket", "u1", "u2"], "left_semi").select("k1", "k2", "at")
     done = stored(done, f"{scheme.name}-done{level}")
@@ -161,12 +162,6 @@ def _settle(rows: Callable[[], DataFrame], scheme: Scheme, level: int) -> tuple[
     return done, still
 
 
-def _let_go(df: DataFrame) -> None:
-    """Shuffle files of finished steps go as soon as nothing refers to them, rather than when the driver's heap happens to fill."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """k1, k2, doc_id, text and more columns. Rows that agree in id and text share a key, and that is harmless: both stand for the same places."""
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
@@ -176,7 +171,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
 def by_text(blocks: DataFrame, name: str) -> DataFrame:
     """Blocks of each text as one array; a text has no more of them than items."""
     out = stored(blocks.groupBy("k1", "k2").agg(F.collect_set("at").alias("blocks")), name)
-    _let_go(out)
+    let_go(out.sparkSession)
     return out
 
 
@@ -189,7 +184,7 @@ def repeated_blocks(docs: DataFrame, scheme: Scheme) -> DataFrame:
         opened = by_text(still, f"{scheme.name}-open{level}")
         rows = base.join(opened, ["k1", "k2"]).select("k1", "k2", "text", "blocks").mapInArrow(_next_round(scheme, level), _ROW)
         rows = stored(rows, f"{scheme.name}-rows{level}")
-        _let_go(rows)
+        let_go(rows.sparkSession)
         done, still = _settle(lambda rows=rows: rows, scheme, level)
         found.append(done)
     every = found[0]
