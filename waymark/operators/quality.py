@@ -1,5 +1,7 @@
 """Checks of coordinates and codes. Each sees only what the checks before it left as trusted."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,14 @@ def flag_round(df: DataFrame) -> DataFrame:
 
 
 def detect_suspect(df: DataFrame, unit: str = "municipality") -> DataFrame:
-    """Placeholder, then cluster, then round; each judges what is still trusted."""
-    return flag_round(flag_cluster(flag_placeholder(df), unit))
+    """Placeholder, then cluster, then round; each judges what is still trusted. One expression over three flags, the cluster's points counted without placeholders."""
+    flagged = df.withColumns({"__trust": _trusted(), "__placeholder": is_placeholder(F.col("latitude"), F.col("longitude")), "__lat5": F.bround("latitude", 5), "__lon5": F.bround("longitude", 5)})
+    points = cluster_points(flagged.where("__trust and not __placeholder"), unit)
+    joined = flagged.join(points, ["__lat5", "__lon5"], "left")
+    few = (decimal_places("latitude") < S.DECIMALS) & (decimal_places("longitude") < S.DECIMALS)
+    reason = F.when(F.col("__placeholder"), F.lit("placeholder_default")).when(F.col("__cluster"), F.lit("coordinate_cluster")).when(few, F.lit("round_coordinates"))
+    marked = joined.withColumn("__why", F.when(F.col("__trust"), reason))
+    return marked.withColumns({"coord_status": F.when(F.col("__why").isNotNull(), F.lit("suspect")).otherwise(F.col("coord_status")), "coord_rejection_reason": F.coalesce("__why", "coord_rejection_reason")}).select(*df.columns)
 
 
 def clean_self_reported(df: DataFrame, unit: str = "municipality") -> DataFrame:
@@ -111,14 +119,16 @@ def is_missing(col: str) -> Column:
     return F.col(col).isNull()
 
 
-def spatial_validation(df: DataFrame, polygons: DataFrame, key: str = "site_id", claimed: str = "claimed_adm3", long: DataFrame | None = None, suspect_unit: str | None = None) -> DataFrame:
-    """The stage in its order: containment, status, outside, wrong unit, fallback to lower sources (if long is given), suspect coordinates (if suspect_unit is), codes."""
+def spatial_validation(df: DataFrame, polygons: DataFrame, key: str = "site_id", claimed: str = "claimed_adm3", long: DataFrame | None = None, suspect_unit: str | None = None, cut: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> DataFrame:
+    """The stage in its order: containment, status, outside, wrong unit, fallback to lower sources (if long is given), suspect coordinates (if suspect_unit is), codes. cut is applied between steps that read their input several times: silver() writes it once."""
     from waymark.operators.cascade import cascade_fallback
 
-    df = init_status(point_in_polygon(df, polygons, key, claimed))
-    df = flag_wrong_unit(flag_outside(df), polygons, key, claimed)
+    df = cut(df, "sites")
+    df = cut(flag_outside(init_status(point_in_polygon(df, polygons, key, claimed))), "observed")
+    df = flag_wrong_unit(df, polygons, key, claimed)
     if long is not None:
+        df = cut(df, "validated")
         df = cascade_fallback(df, long, polygons, key, claimed)
     if suspect_unit is not None:
-        df = detect_suspect(df, suspect_unit)
+        df = detect_suspect(cut(df, "fallback"), suspect_unit)
     return validate_codes(df, claimed, "observed_adm3")

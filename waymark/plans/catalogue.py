@@ -286,7 +286,7 @@ v AS (SELECT *, CASE WHEN reason IN ('outside_all_polygons', 'wrong_municipality
 
 def validated(spark, d):
     p = quality.init_status(spatial.point_in_polygon(points(spark, d), A.poly(spark, d), "pid"))
-    return quality.flag_wrong_unit(quality.flag_outside(p), A.poly(spark, d), "pid")
+    return quality.flag_wrong_unit(silver(quality.flag_outside(p), "observed"), A.poly(spark, d), "pid")
 
 
 @register(_HITS + _RECT + _VALID + "SELECT pid, status AS coord_status, coalesce(reason, '-') AS coord_rejection_reason FROM v", "site", "obs", "poly")
@@ -306,7 +306,7 @@ tries AS (SELECT b.o, v.source, v.latitude, v.longitude, v.adm3, v.adm4, v.prior
 
 def by_site(spark, d):
     """Observations under the site they are of, whatever ID they carry."""
-    return points(spark, d).withColumn("site_id", F.col("_ord").cast("string"))
+    return silver(points(spark, d).withColumn("site_id", F.col("_ord").cast("string")), "by-site")
 
 
 @register(_HITS + _RECT + _VALID + _FALL + """SELECT CAST(b.o AS VARCHAR) AS site_id, coalesce(t.source, b.source) AS coord_source, CASE WHEN t.o IS NULL THEN '-' ELSE b.source END AS coord_fallback_from,
@@ -315,8 +315,9 @@ FROM best b LEFT JOIN (SELECT * FROM tries WHERE rn = 1) t ON b.o = t.o""", "sit
 def cascade_fallback(spark, d):
     long, poly = by_site(spark, d), A.poly(spark, d)
     u = long.groupBy("site_id").agg(F.min("claimed_adm3").alias("claimed_adm3"))
-    one = cascade.priority_cascade(u, long).where("coord_source is not null")
-    ready = quality.flag_wrong_unit(quality.flag_outside(quality.init_status(spatial.point_in_polygon(one, poly))), poly)
+    one = silver(cascade.priority_cascade(u, long).where("coord_source is not null"), "sites")
+    observed = silver(quality.flag_outside(quality.init_status(spatial.point_in_polygon(one, poly))), "observed")
+    ready = silver(quality.flag_wrong_unit(observed, poly), "validated")
     out = cascade.cascade_fallback(ready, long, poly)
     dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
     return out.select("site_id", "coord_source", dash("coord_fallback_from"), "coord_status", dash("coord_rejection_reason"), F.round("latitude", 6).alias("latitude"), dash("observed_adm4"))
@@ -359,7 +360,7 @@ z AS (SELECT *, CASE WHEN bad THEN 'invalid' WHEN NOT (la BETWEEN 4.5 AND 21.5 A
 SELECT source, _ord, CASE WHEN reason IS NOT NULL THEN 'no_coords' WHEN sw THEN 'fixed_swap' ELSE 'valid' END AS coord_status_0, coalesce(reason, '-') AS reason_0 FROM z""", "obs")
 def self_reported_validity(spark, d):
     """The passes before the suspect ones; those add reasons of their own, which don't show here."""
-    out = quality.clean_self_reported(A.obs(spark, d).withColumn("municipality", F.col("site_id")))
+    out = quality.clean_self_reported(silver(A.obs(spark, d).withColumn("municipality", F.col("site_id")), "submissions"))
     suspect = F.col("coord_status") == "suspect"
     return out.select("source", "_ord", F.when(suspect, F.when(F.col("_was_swapped"), "fixed_swap").otherwise("valid")).otherwise(F.col("coord_status")).alias("coord_status_0"), F.when(suspect, "-").otherwise(F.coalesce("coord_rejection_reason", F.lit("-"))).alias("reason_0"))
 
