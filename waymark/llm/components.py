@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import stored
+from waymark.llm.common import let_go, stored
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -21,6 +21,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(low, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(low.withColumnRenamed("m", "u")).distinct()
         edges = stored(small, f"{name}-{k}")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
+        let_go(edges.sparkSession)
         if now == before:
             break
         before = now

@@ -5,8 +5,10 @@ a threshold, here written as least / 100. Documents of equal sets are one node f
 
 1. Outer regions. Shingles are landmarks in one global order, those that few documents have first. If two sets link, at most
    k = n - ceil(n least / 100) shingles of the larger are missing from the other, so a set is replicated to the cells of its first
-   k + 1 landmarks and linked sets meet in a cell. Cells that share a set are one region (connected components), so a
-   set lies in one region only, and regions are closed under linking.
+   k + 1 landmarks and linked sets meet in a cell. In a cell, pairs that the triangle inequality rules out are not joined: two sets
+   are at least as many shingles apart as their distances to the empty set differ (their sizes), and as there are classes of
+   shingles of which one has an odd and the other an even number. What is left joins cells to regions (connected
+   components): a set lies in one region only, and regions are closed under linking.
 2. Voronoi regions. A region too large for one task is cut: a few of its sets are pivots, and every set goes to the region of its
    nearest pivot, and by the triangle inequality also to that of every pivot at most twice the threshold distance further away, where
    a linked set could have gone. This recurs; a region that pivots no longer cut (all sets about equally far from
@@ -30,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER, Names, Words, mix, slices, stored
+from waymark.llm.common import LOWER, Names, Words, let_go, mix, slices, stored
 from waymark.llm.components import components
-from waymark.llm.repeats import _let_go, keyed
+from waymark.llm.repeats import keyed
 
 #: Parts of the shingles that are counted for the order.
 COUNTED = np.uint64(3)
@@ -64,12 +66,93 @@ def missing(n: np.ndarray, least: int) -> np.ndarray:
     return n - -(-n * least // 100)
 
 
+#: Classes of shingles in a sketch of sets below so many shingles, and of larger ones: a fifth of the set's size, so that sets without likeness differ in more classes than linked ones in shingles.
+CLASSES = ((3500, 1024), (14_000, 4096), (1 << 62, 16_384))
+BASE = CLASSES[0][1] // 8
+
+
+def sketches(name: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """A bit for each class of shingles: whether the set has an odd number of them. Two sets differ in at least as many shingles as their sketches differ in bits."""
+    out, value = [], (mix(name) >> np.uint64(40)).astype(np.int64)
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        classes = next(c for n, c in CLASSES if hi - lo < n)
+        out.append(np.packbits((np.bincount(value[lo:hi] % classes, minlength=classes) & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def fold(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of fewer classes: those that are equal modulo the smaller number are one."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
+
+
+def _near_enough(n1, n2: np.ndarray, bits1: np.ndarray, bits2: np.ndarray, full1, full2: np.ndarray, least: int) -> np.ndarray:
+    """False only for sets that can't link: by their sizes, or as they differ in more shingles than linked sets of these sizes do. Of linked sets, union - intersection is at most (100 - least) / (100 + least) of the sum of sizes. Folded sketches are compared first, whole ones of large sets after."""
+    most = (100 - least) * (n1 + n2) // (100 + least)
+    ok = (100 * np.minimum(n1, n2) >= least * np.maximum(n1, n2)) & (np.bitwise_count(bits1 ^ bits2).sum(-1, dtype=np.int64) <= most)
+    for i in np.flatnonzero(ok):
+        x, y = full1[i] if isinstance(full1, np.ndarray) else full1, full2[i]
+        if (size := min(len(x), len(y))) > BASE:
+            ok[i] = np.bitwise_count(fold(x, size) ^ fold(y, size)).sum(dtype=np.int64) <= most[i]
+    return ok
+
+
+#: Sets of a cell up to which a task compares sketches; larger cells link all their sets, and the regions are cut.
+CELL = 4096
+
+
+def _compatible(least: int):
+    """Of rows sorted by landmark, links between sets of a cell that may be similar: not all of them, but as many as keep connected what they connect. A set is labelled by one it is connected to, and sets of equal labels need no link."""
+
+    def cells(rows: list[np.ndarray], whole: bool):
+        mark, node, n, bits, full = rows
+        edge = np.concatenate([[0], np.flatnonzero(mark[1:] != mark[:-1]) + 1, [len(mark)]]) if len(mark) else np.zeros(1, np.int64)
+        last = len(mark) if whole else edge[-2] if len(edge) > 1 else 0  # the last cell may go on in the next batch
+        size = np.diff(edge[edge <= last])
+        a, b = [], []
+        label = np.arange(last)
+        small = np.repeat(size <= 32, size)
+        for k in range(1, min(32, int(size.max(initial=0)))):
+            i = np.flatnonzero((mark[: last - k] == mark[k:last]) & small[: last - k])
+            i = i[label[i] != label[i + k]]
+            i = i[_near_enough(n[i], n[i + k], bits[i], bits[i + k], full[i], full[i + k], least)]
+            label[i + k] = label[i]
+            a.append(node[i]), b.append(node[i + k])
+        for lo, m in zip(edge[:-1][: len(size)][size > 32], size[size > 32], strict=True):
+            hi = lo + m
+            for i in range(lo, hi - 1):
+                j = np.arange(i + 1, hi)
+                j = j[label[j] != label[i]]
+                j = j[_near_enough(n[i], n[j], bits[i], bits[j], full[i], full[j], least)]
+                label[j] = label[i]
+                a.append(np.repeat(node[i], len(j))), b.append(node[j])
+        pairs = (np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)]))
+        return pairs, [r[last:] for r in rows]
+
+    def batch_of(pairs) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            raw = batch.column(3).to_pylist()
+            full = np.empty(len(raw), object)
+            full[:] = raw
+            folded = np.array([fold(x, BASE) for x in raw], np.uint8).reshape(-1, BASE)
+            fresh = [*[batch.column(i).to_numpy() for i in range(3)], folded, full]
+            pairs, held = cells(fresh if held is None else [np.concatenate(x) for x in zip(held, fresh, strict=True)], False)
+            yield batch_of(pairs)
+        if held is not None:
+            yield batch_of(cells(held, True)[0])
+
+    return run
+
+
 def _sets(shingle: int):
     def run(batches):
         for b in batches:
             for lo, n in slices(b.column(3)):
                 name, cut = shingles(b.column(3).slice(lo, n).to_pylist(), shingle)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.array(node_of(name, cut)), pa.array(np.diff(cut).astype(np.int64))], names=["k1", "k2", "doc_id", "node", "n"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.array(node_of(name, cut)), pa.array(np.diff(cut).astype(np.int64)), pa.array(list(sketches(name, cut)), pa.binary())], names=["k1", "k2", "doc_id", "node", "n", "sketch"])
 
     return run
 
@@ -177,7 +260,7 @@ def _to_pivots(least: int):
     reach = 1 - least / 100
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):
             rows: dict[str, list] = {"region": [], "node": [], "n": [], "shingles": []}
             for region, node, n, own, pivots in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
                 d = _distances(np.array(own), [np.array(p["shingles"]) for p in pivots])
@@ -189,23 +272,33 @@ def _to_pivots(least: int):
     return run
 
 
+#: Shingles of all sets that a task holds at once.
+HELD = 4_000_000
+
+
+def _too_large(members: DataFrame, work: int) -> DataFrame:
+    """Regions whose sets times shingles exceed work, or that hold more shingles than a task's memory is for: region, m, total, over (by how much)."""
+    size = members.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    over = F.greatest(F.col("m").cast("double") * F.col("total") / work, F.pow(F.col("total") / min(HELD, work), F.lit(2.0)))
+    return size.withColumn("over", over).where("over > 1 and m > 1")
+
+
 def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivots: int = 8) -> DataFrame:
     """members (region, node, n, shingles) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks."""
     done = []
     for k in range(rounds + 1):
-        size = members.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-        size = stored(size.where(F.col("m").cast("double") * F.col("total") > work), f"jaccard-large{k}")
+        size = stored(_too_large(members, work), f"jaccard-large{k}")
         if size.isEmpty():
             break
         done.append(members.join(size, "region", "left_anti"))
         large = members.join(size, "region")
         if k < rounds:
             chosen = large.where(F.pmod(F.xxhash64("node", F.lit(k)), F.col("m")) < 2 * pivots).groupBy("region").agg(F.collect_list(F.struct("node", "shingles")).alias("pivots"))
-            whole = large.join(chosen, "region", "left_anti").drop("m", "total")  # no pivot by chance: stays for the next round
+            whole = large.join(chosen, "region", "left_anti").drop("m", "total", "over")  # no pivot by chance: stays for the next round
             fresh = large.join(chosen, "region").select("region", "node", "n", "shingles", "pivots").mapInArrow(_to_pivots(least), members.schema)
             members = stored(fresh.unionByName(whole), f"jaccard-cut{k}")
         else:
-            blocks = F.greatest(F.lit(2), 2 * F.ceil(F.sqrt(F.col("m").cast("double") * F.col("total") / work)))
+            blocks = 2 * F.ceil(F.sqrt("over"))
             own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
             met = large.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
             members = met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node", "n", "shingles")
@@ -219,14 +312,23 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
-    sets = stored(base.mapInArrow(_sets(shingle), f"k1 long, k2 int, doc_id {kind}, node long, n long"), "jaccard-sets")
+    sets = stored(base.mapInArrow(_sets(shingle), f"k1 long, k2 int, doc_id {kind}, node long, n long, sketch binary"), "jaccard-sets")
     known = base.where("text is not null").select("text")
-    often = known.mapInArrow(_counted(shingle), "landmark long").groupBy("landmark").count().where("count > 7").orderBy(F.desc("count"), "landmark").limit(heavy)
-    shared = spark.sparkContext.broadcast(np.sort(often.toPandas()["landmark"].to_numpy(np.int64).view(np.uint64)))  # at most `heavy` numbers
+    often = known.mapInArrow(_counted(shingle), "landmark long").groupBy("landmark").count().where("count > 7").orderBy(F.desc("count"), "landmark").limit(heavy).toPandas()
+    shared = spark.sparkContext.broadcast(np.sort(often["landmark"].to_numpy(np.int64).view(np.uint64)))  # at most `heavy` numbers
+    let_go(spark)
     cells = stored(known.mapInArrow(_cells(shingle, least, shared), "landmark long, node long"), "jaccard-cells")
-    meet = cells.groupBy("landmark").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("landmark", "a")
-    regions = stored(components(cells.join(meet, "landmark").where("node <> a").select("a", F.col("node").alias("b")), "jaccard-regions"), "jaccard-regions")
-    _let_go(sets)
+    meet = cells.groupBy("landmark").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("landmark")
+    shared_cells = stored(cells.join(meet, "landmark", "left_semi").distinct(), "jaccard-shared")
+    let_go(spark)
+    hot = shared_cells.groupBy("landmark").agg(F.count("*").alias("m"), F.min("node").alias("a")).where(F.col("m") > CELL).select("landmark", "a")
+    sketched = sets.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    small = shared_cells.join(hot, "landmark", "left_anti").join(sketched, "node").select("landmark", "node", "n", "sketch").repartition("landmark").sortWithinPartitions("landmark", "n", "node")
+    near = small.mapInArrow(_compatible(least), "a long, b long").unionByName(shared_cells.join(hot, "landmark").where("node <> a").select("a", F.col("node").alias("b")))
+    near = stored(near.distinct(), "jaccard-near")
+    let_go(spark)
+    regions = stored(components(near, "jaccard-regions"), "jaccard-regions")
+    let_go(spark)
     one = sets.groupBy("node").agg(F.min(F.struct("k1", "k2", "n")).alias("one"))
     members = regions.join(one, "node").select("one.k1", "one.k2", "node", "one.n", F.col("root").alias("region"))
 
@@ -236,12 +338,19 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
                 name, cut = shingles(b.column(3).slice(lo, n).to_pylist(), shingle)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(name.view(np.int64)))], names=["region", "node", "n", "shingles"])
 
-    # rows that agree in id and text share a key and give the set twice, which the task sees to
-    full = stored(base.join(members, ["k1", "k2"]).select("region", "node", "n", "text").mapInArrow(filled, "region long, node long, n long, shingles array<long>"), "jaccard-members")
-    _let_go(full)
-    links = stored(cut_regions(full, least, work).groupBy("region").applyInArrow(_in_task(least), "a long, b long"), "jaccard-links")
+    # the sizes of regions are known before any set travels: only the sets of regions that are too large are stored, to be cut
+    large = stored(_too_large(members, work), "jaccard-large")
+    fill = lambda part: base.join(part, ["k1", "k2"]).select("region", "node", "n", "text").mapInArrow(filled, "region long, node long, n long, shingles array<long>")
+    if large.isEmpty():
+        ready = fill(members)
+    else:
+        cut = cut_regions(stored(fill(members.join(large.select("region"), "region", "left_semi")), "jaccard-members"), least, work)
+        ready = fill(members.join(large.select("region"), "region", "left_anti")).unionByName(cut)
+    # rows that agree in id and text share a key and give a set twice, which the task sees to
+    links = stored(ready.groupBy("region").applyInArrow(_in_task(least), "a long, b long"), "jaccard-links")
+    let_go(spark)
     found = components(links, "jaccard-components")
-    rooted = stored(sets.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-rooted")
+    rooted = stored(sets.drop("sketch").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-rooted")
     first = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("first"))
     # sets without shingles stay apart, whatever their number
     return rooted.join(first, "root", "left").select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), "node", "root", F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
