@@ -307,6 +307,19 @@ def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivo
     return members
 
 
+def _least_count(counts: DataFrame, heavy: int) -> int:
+    """The least count that at most `heavy` landmarks reach. From the number of landmarks by count in steps of a sixteenth of a power of two, which is a short list at any size of corpus."""
+    step = F.floor(F.log2("count") * 16)
+    tally = sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, total = 1 << 62, 0
+    for at, n in tally:
+        total += n
+        if total > heavy:
+            break
+        least = int(np.ceil(2 ** (at / 16)))
+    return least
+
+
 def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 2_000_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links). work: sets times shingles that one task compares."""
     spark = docs.sparkSession
@@ -314,7 +327,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     kind = base.schema["doc_id"].dataType.simpleString()
     sets = stored(base.mapInArrow(_sets(shingle), f"k1 long, k2 int, doc_id {kind}, node long, n long, sketch binary"), "jaccard-sets")
     known = base.where("text is not null").select("text")
-    often = known.mapInArrow(_counted(shingle), "landmark long").groupBy("landmark").count().where("count > 7").orderBy(F.desc("count"), "landmark").limit(heavy).toPandas()
+    counts = stored(known.mapInArrow(_counted(shingle), "landmark long").groupBy("landmark").count().where("count > 7"), "jaccard-counts")
+    often = counts.where(F.col("count") >= _least_count(counts, heavy)).select("landmark").toPandas()
     shared = spark.sparkContext.broadcast(np.sort(often["landmark"].to_numpy(np.int64).view(np.uint64)))  # at most `heavy` numbers
     let_go(spark)
     cells = stored(known.mapInArrow(_cells(shingle, least, shared), "landmark long, node long"), "jaccard-cells")

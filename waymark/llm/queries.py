@@ -74,6 +74,27 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op2_recompression": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS s FROM d, unnest(range(1, len(w) - 33)) t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, j FROM twice, unnest(range(i, i + 35)) t(j)),
+lists AS (SELECT doc_id, list(j) AS js, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(list_filter(w, lambda x, i: js IS NULL OR NOT list_contains(js, i)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)
+""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 2], ' ') END AS s FROM d, unnest(range(1, greatest(2, len(w) - 1))) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 90 * (a.n + b.n - i)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, y FROM reach JOIN both_ways ON r = x)
+SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, coalesce(min(r), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
+""",
     "op5_revisits": r"""
 WITH base AS (
   SELECT CAST(page_id AS BIGINT) AS page_id, url, length(html) AS size, md5(html) AS digest,
