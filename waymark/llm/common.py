@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,6 +13,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: glibc, where this is it.
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
+
 #: The words of the contracts: runs without space and the controls 09-0D. bytes.split() splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,8 +48,16 @@ def let_go(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Batches that go to Python hold fewer rows than Spark's default, since rows are whole texts. A setting of the session; a smaller one of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just id and text, under fixed names, so that other columns can't clash."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
@@ -85,6 +97,14 @@ def slices(col: pa.Array, rows: int = 512, size: int = 2_000_000) -> Iterator[tu
         n, total = n + 1, total + k
     if n:
         yield lo, n
+    trim()
+
+
+def trim() -> None:
+    """Freed memory back to the system after a batch, so that what one step used is not held when the next runs in the same worker."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 # --- 64-bit rolling names of byte ranges -----------------------------------------------------------------------------

@@ -31,7 +31,8 @@ from waymark.llm.common import map_text, texts
 
 #: Bytes of a leaf: so few that most leaves have been met before.
 LEAF = 12
-REMEMBERED, REMEMBERED_CHARS = 600_000, 48
+#: What a worker remembers: units, leaves or seams, and the length of a unit. Some 150 MB at most.
+UNITS, PARTS, REMEMBERED_CHARS = 300_000, 100_000, 48
 
 
 class MonoidBpe:
@@ -89,7 +90,7 @@ class MonoidBpe:
         """The encoding of the bytes of two tokens; [a, b] itself if they are compatible."""
         found = self.pairs.get(a << 32 | b)
         if found is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= PARTS:
                 self.pairs.clear()
             found = self.pairs[a << 32 | b] = self.merge(self.bytes_of[a] + self.bytes_of[b])
         return found
@@ -121,7 +122,7 @@ class MonoidBpe:
         if n <= LEAF:
             found = self.leaves.get(b)
             if found is None:
-                if len(self.leaves) >= REMEMBERED:
+                if len(self.leaves) >= PARTS:
                     self.leaves.clear()
                 found = self.leaves[b] = self.merge(b)
             return found
@@ -150,7 +151,7 @@ class _Units(dict):
 
     def put(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
+            if len(self) >= UNITS:
                 self.clear()
             self[key] = ids
         return ids

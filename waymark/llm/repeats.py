@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import Names, let_go, mix, slices, stored
+from waymark.llm.common import Names, let_go, mix, slices, small_batches, stored
 
 _KEY = "k1 long, k2 int"
 _ROW = f"bucket long, u1 long, u2 long, {_KEY}, at long"
@@ -164,6 +164,7 @@ def _settle(rows: Callable[[], DataFrame], scheme: Scheme, level: int) -> tuple[
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """k1, k2, doc_id, text and more columns. Rows that agree in id and text share a key, and that is harmless: both stand for the same places."""
+    small_batches(docs.sparkSession)
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
     return docs.select(F.xxhash64(i, t).alias("k1"), F.hash(t, i).alias("k2"), i.alias("doc_id"), t.alias("text"), *more)
 
