@@ -86,7 +86,7 @@ def map_text(df: DataFrame, make: Callable[[], Callable[[list], dict]], schema:
     return df.select(*keep, "text").mapInArrow(run, StructType([*kinds.fields, *made_schema.fields]))
 
 
-def slices(col: pa.Array, rows: int = 512, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(col: pa.Array, rows: int = 512, size: int = 500_000) -> Iterator[tuple[int, int]]:
     """Offsets and lengths of stretches of at most so many rows and, but for a single longer text, bytes."""
     lengths = np.nan_to_num(np.asarray(pc.binary_length(col).to_numpy(zero_copy_only=False), float)).astype(np.int64)
     lo, n, total = 0, 0, 0
