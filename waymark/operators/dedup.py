@@ -24,9 +24,10 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: str = "_ord") -> DataFr
     return _best(df, keys, F.col(order), last=True)
 
 
-def consolidate(df: DataFrame, key: str = "site_id", name: str = "site_name", order: str = "_ord") -> DataFrame:
-    """After a remap: of the rows of a key one with coordinates, then one with a name, then the first."""
-    return _best(df, [key], F.struct(~has_valid_coords("latitude", "longitude"), is_blank(name), F.col(order)))
+def consolidate(df: DataFrame, key: str = "site_id", name: str = "site_name", order: str = "_ord", by: Sequence[str] = ()) -> DataFrame:
+    """After a remap: of the rows of a key (and of the columns by, as the source) one with coordinates, then one with a name, then the first."""
+    placed = [~has_valid_coords("latitude", "longitude")] if "latitude" in df.columns else []
+    return _best(df, [*by, key], F.struct(*placed, is_blank(name), F.col(order)))
 
 
 def merged_count(before: DataFrame, key: str = "site_id") -> DataFrame:

@@ -510,16 +510,41 @@ def near_duplicate_sites(spark, d):
 # --- whole pipelines --------------------------------------------------------------------------------------------------
 
 
+def enrolment(spark, d):
+    """Most sites as enrolled, under their present ID, and sites of both sectors that only this list has."""
+    p, m = A.published(spark, d), F.col("_ord")
+    own = p.drop("sector").join(A.site(spark, d).select("_ord", "sector"), "_ord").where("_ord % 10 <> 7")
+    more = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("_ord")).join(p, "_ord").withColumns({"site_id": (500000 + m).cast("string"), "_ord": m + (1 << 40)})
+    named = F.when(m % 31 != 0, F.col("site_name")).alias("site_name")
+    return own.select(*more.columns).unionByName(more).select("_ord", "site_id", named, "sector", *S.LOCATION_COLS, F.concat(F.lit("Old "), "region").alias("old_region"), F.when(m % 6 != 0, F.lit("managed")).alias("school_management"), (m % 2).cast("int").alias("offers_es"))
+
+
+def codes(spark, d):
+    return A.site(spark, d).select("site_id", F.substring("claimed_adm3_10", 1, 7).alias("claimed_adm3"), F.col("site_name").alias("code_name"))
+
+
 @register()
 def pipeline_multi_source(spark, d):
-    return pipelines.multi_source(by_site(spark, d), A.poly(spark, d), A.published(spark, d).select(F.col("_ord").cast("string").alias("site_id"), "region", "municipality"))
+    have = (F.col("_ord") + F.col("priority")) % 4 != 0
+    places = A.published(spark, d).select("_ord", *S.LOCATION_COLS)
+    long = clean(spark, d).join(places, "_ord").withColumns({c: F.when(have, F.col(c)) for c in S.LOCATION_COLS})
+    return pipelines.multi_source(silver(long, "located"), A.mapping(spark, d), silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
 
 
 @register()
 def pipeline_self_reported(spark, d):
     u = A.published(spark, d).select("site_id", "site_name", "region", "municipality", "sector")
     o = A.obs(spark, d).where("source = 'nsbi_2324'").select("site_id", "latitude", "longitude", "_ord").join(u.select("site_id", "municipality"), "site_id", "left")
-    return pipelines.self_reported(u, o, A.poly(spark, d), A.site(spark, d).select("site_id", F.substring("claimed_adm3_10", 1, 7).alias("claimed_adm3")))
+    return pipelines.self_reported(u, o, silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+
+
+@register()
+def pipeline_institutions(spark, d):
+    """Two programmes of each published site, a code to seven sites or fewer."""
+    p, m = A.published(spark, d), F.col("_ord")
+    programs = p.select(F.explode(F.array(2 * m, 2 * m + 1)).alias("_ord"), F.when(m % 9 != 0, F.concat(F.lit("C"), F.floor(m / 7).cast("string"))).alias("code"), F.col("site_name").alias("name"), "region", F.when(m % 5 != 0, F.col("province")).alias("province"), F.col("municipality").alias("city_municipality"), "latitude", "longitude")
+    layer = A.poly(spark, d).withColumns({"adm2": F.substring("adm3", 1, 5), "adm2_name": F.concat(F.lit("Province "), F.substring("adm3", 1, 5))})
+    return pipelines.institutions(programs, layer)
 
 
 @register("""SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS kind, count(*) AS n, round(avg(l_extendedprice * (1 - l_discount)), 2) AS mean_price FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")

@@ -10,6 +10,7 @@ LON_MIN, LON_MAX = 116.0, 127.0
 COORD_PRIORITY = ("monitoring_validated", "osmapaaralan", "nsbi_2324", "geolocation_deped", "drrms_imrs")
 LOCATION_PRIORITY = ("nsbi_2324", "geolocation_deped", "monitoring_validated", "osmapaaralan", "drrms_imrs")
 LOCATION_COLS = ("region", "province", "municipality", "barangay")
+ENROLMENT_COLS = ("school_management", "annex_status", "offers_es", "offers_jhs", "offers_shs", "shs_strand_offerings")
 STATUSES = ("valid", "fixed_swap", "suspect", "no_coords", "out_of_bounds")
 TRUSTED = ("valid", "fixed_swap")
 REASONS = ("no_coordinate_source", "outside_all_polygons", "wrong_municipality", "placeholder_default", "coordinate_cluster", "round_coordinates", "invalid", "out_of_bounds", "no_submission", "not_in_lis")
