@@ -14,11 +14,12 @@ a threshold, here written as least / 100. Documents of equal sets are one node f
    a linked set could have gone. This recurs; a region that pivots no longer cut (all sets about equally far from
    each other) is cut into blocks of which every two meet in a task.
 3. Inside a task, sets are compared exactly. Each set is a pivot in its turn: its distances to all others are one vector
-   operation; others already linked to it, of unsuitable size, or outside the window |d(p,x) - d(p,y)| <= threshold of an
-   earlier pivot p, need no comparison.
+   operation; others of unsuitable size, or outside the window |d(p,x) - d(p,y)| <= threshold of an earlier pivot p, need no
+   comparison. Every link is found, and counted once however often its sets meet: in the region whose pivot is
+   nearest to the set of the lesser name (its home), of blocks in the one task that holds both.
 
-Tasks return each set's local root, so what they return grows with the sets, not the pairs; the roots are then joined to
-components. The order of landmarks is a matter of speed only: a third of the shingles is counted, and at most `heavy` of the most frequent of those go last.
+Tasks return each set's local root and number of links, so what they return grows with the sets, not the pairs; the roots are
+then joined to components. Where links aren't asked for, sets already connected aren't compared. The order of landmarks is a matter of speed only: a third of the shingles is counted, and at most `heavy` of the most frequent of those go last.
 
 Cases: null and empty texts and texts without words have an empty set, size 0, and link with nothing; fewer words than a
 shingle make one shingle; equal documents and rows that repeat an id link by their sets; a component's id is the least id that is not null;
@@ -196,58 +197,75 @@ def _linked(inner: np.ndarray, a, b: np.ndarray, least: int) -> np.ndarray:
     return 100 * inner >= least * (a + b - inner)
 
 
-def join_region(nodes: np.ndarray, sets: list[np.ndarray], least: int, windows: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Local root (number of the set) and number of links found of each set of a region. Exact."""
+def join_region(nodes: np.ndarray, sets: list[np.ndarray], least: int, windows: int = 8, copies: np.ndarray | None = None, home: np.ndarray | None = None, side: np.ndarray | None = None, count: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Local root (number of the set) and number of links found of each set of a region. Exact. nodes are in ascending order; a link counts as many times as the other set has copies.
+
+    home: sets whose links to later ones are to be found here; side: sets of one side, unless -1, are compared elsewhere. Without count, sets already connected aren't compared."""
     m = len(sets)
     size = np.array([len(s) for s in sets])
+    copies = np.ones(m, np.int64) if copies is None else copies
+    home = np.ones(m, bool) if home is None else home
+    side = np.full(m, -1) if side is None else side
     cut = np.concatenate([[0], np.cumsum(size)])
     code = np.unique(np.concatenate(sets), return_inverse=True)[1] if m else np.zeros(0, int)
     mark = np.zeros(code.max(initial=0) + 1, np.int32)
-    root = np.arange(m)
+    root, links = np.arange(m), np.zeros(m, np.int64)
     reach = 1 - least / 100 + 1e-9
     seen: list[np.ndarray] = []
-    for p in range(m - 1):
+    for p in np.flatnonzero(home[:-1]):
         rest = np.arange(p + 1, m)
         small, large = np.minimum(size[p], size[rest]), np.maximum(size[p], size[rest])
-        ok = (root[rest] != root[p]) & (100 * small >= least * large)
+        ok = (100 * small >= least * large) & ((side[p] < 0) | (side[rest] != side[p]))
+        if not count:
+            ok &= root[rest] != root[p]
         for d in seen:
             ok &= np.abs(d[rest] - d[p]) <= reach
         rest = rest[ok]
         if not len(rest):
             continue
         mark[code[cut[p] : cut[p + 1]]] = 1
-        if len(seen) < windows:  # a pivot's distances to all later sets, for windows of the others
+        if len(seen) < windows:  # a pivot's distances to all others, for windows of the others
             inner = np.add.reduceat(mark[code], cut[:-1]).astype(np.int64)
             seen.append(1 - inner / (size + size[p] - inner))
             inner = inner[rest]
+        elif 2 * len(rest) > m - p:  # most of the later ones: in one stretch
+            inner = np.add.reduceat(mark[code[cut[p] :]], cut[p:-1] - cut[p]).astype(np.int64)[rest - p]
         else:
             part = np.concatenate([code[cut[r] : cut[r + 1]] for r in rest])
             inner = np.add.reduceat(mark[part], np.concatenate([[0], np.cumsum(size[rest])[:-1]])).astype(np.int64)
         mark[code[cut[p] : cut[p + 1]]] = 0
         hit = rest[_linked(inner, size[p], size[rest], least)]
         if len(hit):
+            links[p] += copies[hit].sum()
+            links[hit] += copies[p]
             joined = np.unique(root[hit])
-            root[np.isin(root, joined)] = root[p]
-    return root, size
+            if len(joined) > 1 or joined[0] != root[p]:
+                root[np.isin(root, joined)] = root[p]
+    return root, links
 
 
-def _in_task(least: int):
+def _in_task(least: int, count: bool):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        # sets of equal node may come twice (from blocks that meet): one of each is enough
+        # sets of equal node may come twice (rows of equal id and text): one of each is enough
         nodes = table.column("node").to_numpy()
         _, first = np.unique(nodes, return_index=True)
         column = table.column("shingles").combine_chunks()
         values, cut = column.flatten().to_numpy(), column.offsets.to_numpy()
         values, cut = values, cut - cut[0]
         sets = [values[cut[i] : cut[i + 1]] for i in first]
-        root, _ = join_region(nodes[first], sets, least)
+        copies, home, side = (table.column(c).to_numpy()[first] for c in ("copies", "home", "side"))
         own = nodes[first]
-        apart = root != np.arange(len(first))
-        return pa.table({"a": pa.array(own[apart]), "b": pa.array(own[root[apart]])})
+        root, links = join_region(own, sets, least, copies=copies, home=home.astype(bool), side=side, count=count)
+        told = (root != np.arange(len(first))) | (links > 0)
+        return pa.table({"a": pa.array(own[told]), "b": pa.array(own[root[told]]), "links": pa.array(links[told])})
 
     return run
 
 
+#: Columns of the sets of regions: copies is the number of rows of a set, home and side as in join_region.
+MEMBER = {"region": pa.int64(), "node": pa.int64(), "n": pa.int64(), "shingles": pa.list_(pa.int64()), "copies": pa.int64(), "home": pa.bool_(), "side": pa.int64()}
+
+
 def _distances(sets: np.ndarray, pivots: list[np.ndarray]) -> np.ndarray:
     out = []
     for p in pivots:
@@ -261,13 +279,15 @@ def _to_pivots(least: int):
 
     def run(batches):
         for b in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):
-            rows: dict[str, list] = {"region": [], "node": [], "n": [], "shingles": []}
-            for region, node, n, own, pivots in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
+            rows: dict[str, list] = {c: [] for c in MEMBER}
+            for region, node, n, own, copies, home, side, pivots in zip(*[b.column(i).to_pylist() for i in range(8)], strict=True):
                 d = _distances(np.array(own), [np.array(p["shingles"]) for p in pivots])
+                nearest = min(zip(d.tolist(), (p["node"] for p in pivots), strict=True))[1]
                 for p in np.flatnonzero(d <= d.min() + 2 * reach + 1e-9):
-                    rows["region"].append(hash((region, pivots[p]["node"])))
-                    rows["node"].append(node), rows["n"].append(n), rows["shingles"].append(own)
-            yield pa.RecordBatch.from_arrays([*[pa.array(rows[c], pa.int64()) for c in ("region", "node", "n")], pa.array(rows["shingles"], pa.list_(pa.int64()))], names=list(rows))
+                    to = pivots[p]["node"]
+                    for c, x in zip(MEMBER, (hash((region, to)), node, n, own, copies, home and to == nearest, side), strict=True):
+                        rows[c].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in MEMBER.items()], names=list(MEMBER))
 
     return run
 
@@ -284,7 +304,7 @@ def _too_large(members: DataFrame, work: int) -> DataFrame:
 
 
 def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivots: int = 8) -> DataFrame:
-    """members (region, node, n, shingles) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks."""
+    """members (columns MEMBER) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks."""
     done = []
     for k in range(rounds + 1):
         size = stored(_too_large(members, work), f"jaccard-large{k}")
@@ -295,13 +315,13 @@ def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivo
         if k < rounds:
             chosen = large.where(F.pmod(F.xxhash64("node", F.lit(k)), F.col("m")) < 2 * pivots).groupBy("region").agg(F.collect_list(F.struct("node", "shingles")).alias("pivots"))
             whole = large.join(chosen, "region", "left_anti").drop("m", "total", "over")  # no pivot by chance: stays for the next round
-            fresh = large.join(chosen, "region").select("region", "node", "n", "shingles", "pivots").mapInArrow(_to_pivots(least), members.schema)
+            fresh = large.join(chosen, "region").select(*MEMBER, "pivots").mapInArrow(_to_pivots(least), members.schema)
             members = stored(fresh.unionByName(whole), f"jaccard-cut{k}")
         else:
             blocks = 2 * F.ceil(F.sqrt("over"))
             own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
             met = large.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-            members = met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node", "n", "shingles")
+            members = met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node", "n", "shingles", "copies", "home", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).cast("bigint").alias("side"))
     for part in done:
         members = members.unionByName(part.select(*members.columns))
     return members
@@ -320,8 +340,8 @@ def _least_count(counts: DataFrame, heavy: int) -> int:
     return least
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 2_000_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links). work: sets times shingles that one task compares."""
+def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 2_000_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links), and, unless links is false, n_links (the other rows that the row links with). work: sets times shingles that one task compares."""
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -343,36 +363,42 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     let_go(spark)
     regions = stored(components(near, "jaccard-regions"), "jaccard-regions")
     let_go(spark)
-    one = sets.groupBy("node").agg(F.min(F.struct("k1", "k2", "n")).alias("one"))
-    members = regions.join(one, "node").select("one.k1", "one.k2", "node", "one.n", F.col("root").alias("region"))
+    one = sets.groupBy("node").agg(F.min(F.struct("k1", "k2", "n")).alias("one"), F.count("*").alias("copies"))
+    members = regions.join(one, "node").select("one.k1", "one.k2", "node", "one.n", F.col("root").alias("region"), "copies")
 
     def filled(batches):
         for b in batches:
             for lo, n in slices(b.column(3)):
                 name, cut = shingles(b.column(3).slice(lo, n).to_pylist(), shingle)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(name.view(np.int64)))], names=["region", "node", "n", "shingles"])
+                own = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(name.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), own, b.column(4).slice(lo, n), pa.array(np.ones(n, bool)), pa.array(np.full(n, -1))], names=list(MEMBER))
 
     # the sizes of regions are known before any set travels: only the sets of regions that are too large are stored, to be cut
     large = stored(_too_large(members, work), "jaccard-large")
-    fill = lambda part: base.join(part, ["k1", "k2"]).select("region", "node", "n", "text").mapInArrow(filled, "region long, node long, n long, shingles array<long>")
+    fill = lambda part: base.join(part, ["k1", "k2"]).select("region", "node", "n", "text", "copies").mapInArrow(filled, "region long, node long, n long, shingles array<long>, copies long, home boolean, side long")
     if large.isEmpty():
         ready = fill(members)
     else:
         cut = cut_regions(stored(fill(members.join(large.select("region"), "region", "left_semi")), "jaccard-members"), least, work)
         ready = fill(members.join(large.select("region"), "region", "left_anti")).unionByName(cut)
     # rows that agree in id and text share a key and give a set twice, which the task sees to
-    links = stored(ready.groupBy("region").applyInArrow(_in_task(least), "a long, b long"), "jaccard-links")
+    linked = stored(ready.groupBy("region").applyInArrow(_in_task(least, links), "a long, b long, links long"), "jaccard-links")
     let_go(spark)
-    found = components(links, "jaccard-components")
+    found = components(linked.where("a <> b").select("a", "b"), "jaccard-components")
+    if links:  # nodes of which more than the name is to be told; copies of a set link with one another
+        copied = sets.where("n > 0").groupBy("node").agg((F.count("*") - 1).alias("links")).where("links > 0")
+        total = linked.select(F.col("a").alias("node"), "links").unionByName(copied).groupBy("node").agg(F.sum("links").alias("n_links"))
+        found = total.join(found, "node", "full")
     rooted = stored(sets.drop("sketch").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-rooted")
     first = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("first"))
     # sets without shingles stay apart, whatever their number
-    return rooted.join(first, "root", "left").select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), "node", "root", F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
+    more = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if links else []
+    return rooted.join(first, "root", "left").select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), "node", "root", F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"), *more)
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, least: int = 90, id_col: str = "doc_id") -> DataFrame:
     """docs with one row of each component: that of the least id, of equal ids of the least keys. Rows without shingles all stay. All columns stay."""
-    found = jaccard_components(docs, shingle, least, id_col=id_col)
+    found = jaccard_components(docs, shingle, least, id_col=id_col, links=False)
     # one row per component by aggregates with partial sums, of few columns
     one = F.min(F.struct("doc_id", "k1", "k2")).alias("one")
     keep = found.where("n_shingles > 0").groupBy("root", "node").agg(one).groupBy("root").agg(F.min("one").alias("one")).select("one.k1", "one.k2")

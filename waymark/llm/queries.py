@@ -56,6 +56,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3_jaccard_join gives, with the number of links of each document."""
+    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
@@ -68,7 +73,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monoid_bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op3_jaccard_join, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op3_jaccard_join, op3_jaccard_links, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -85,7 +90,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
 FROM d LEFT JOIN lists USING (doc_id)
 """,
     "op3_jaccard_join": r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 2], ' ') END AS s FROM d, unnest(range(1, greatest(2, len(w) - 1))) t(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
@@ -164,3 +170,6 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
 }
+
+_LAST = "SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles,"
+ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_join"].replace(_LAST, _LAST + " (SELECT count(*) FROM both_ways WHERE x = d.doc_id) AS n_links,")
