@@ -8,8 +8,10 @@ announces, and validates it:
 * ip: from a digit, four groups joined by dots, each at most 255
 * card: from a digit, digits with single spaces or hyphens, 16 to 19 of them, Luhn
 * phone: from a plus sign, 8 to 15 digits among spaces, dots, hyphens and parentheses
-* account: from a cue (iban, ssn, passport, account, token, secret, api key, password), over its separators to an identifier: an IBAN
-  with right check digits, a social security number, or at least 8 characters with 6 digits among them
+* account: from a cue (iban, ssn, passport, account, token, secret, api key, password; in any case), over separators and filler words
+  (number, no., is and the like) to an identifier: an IBAN with right check digits; after ssn, passport and account at least 8
+  characters with 6 digits among them; after the cues for secrets that, or after a colon or an equals sign at least 8 characters
+  to the next space or quote that aren't one plain word
 * url: from a scheme, an address that names a user or a bare ip as its host
 
 The first four are the base kinds and equal the leftmost non-overlapping matches of BASE; the last two are what the cues add.
@@ -38,7 +40,7 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = (*BASE, "account", "url")
-CUES = ("iban", "ssn", "passport", "account", "acct", "token", "secret", "api_key", "apikey", "api key", "password")
+CUES = ("iban", "ssn", "passport", "account", "acct", "token", "secret", "api_key", "apikey", "api key", "api-key", "password")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 
 _DIGITS = frozenset(string.digits)
@@ -48,6 +50,12 @@ _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 _SEPARATOR = frozenset(" \t:=#\"'")
 _IDENTIFIER = _ALNUM | frozenset("-_")
+#: Words between a cue and what it announces.
+FILLERS = frozenset(("number", "numbers", "no", "nr", "num", "nos", "id", "is", "was", "are", "key", "value", "code", "my", "the", "bearer"))
+SECRETS = frozenset(("token", "secret", "api_key", "apikey", "api key", "api-key", "password"))
+_SECRET_END = frozenset(" \t\r\n\v\f\"'`<>,;()[]{}")
+#: Only ASCII, so that the length of a text and all positions stay.
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _URL_END = frozenset(" \t\r\n\v\f\"'<>")
 
 
@@ -136,21 +144,56 @@ def iban(s: str) -> bool:
     return 15 <= len(s) <= 34 and s[:2].isalpha() and s[2:4].isdigit() and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def announced(text: str, at: int) -> tuple[int, bool]:
+    """Where what a cue that ends at `at` announces begins, after separators and filler words, and whether a colon or an equals sign stands before it; the same place if nothing is announced."""
+    if at < len(text) and text[at] == "s":  # a plural
+        at += 1
+    start, strong = at, False
+    for _ in range(4):
+        go = run_right(text, start, _SEPARATOR)
+        if go == start or go - start > 8:
+            return at, False
+        strong = strong or ":" in text[start:go] or "=" in text[start:go]
+        end = run_right(text, go, _ALNUM)
+        if text[go:end].translate(_LOWER) not in FILLERS or end < len(text) and text[end] in "-_":
+            return go, strong
+        start = end + (end < len(text) and text[end] == ".")
+    return at, False
+
+
+def secret(s: str) -> bool:
+    """At least 8 characters, not all of them letters of one word: digits, signs or capitals within."""
+    classes = sum((any(c.islower() for c in s), any(c.isupper() for c in s[1:]), any(c.isdigit() for c in s), any(not c.isalnum() for c in s)))
+    return len(s) >= 8 and classes >= 2 and any(c.isalnum() for c in s) and "://" not in s
+
+
 def accounts(text: str, anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """anchors: starts and ends of cues."""
     out, low = [], 0
     for a, e in anchors:
-        if e < low or a and text[a - 1] in _ALNUM:
+        # a cue within a word is one only where a word of another form begins (myApiKey, db_password)
+        if e < low or a and text[a - 1] in _ALNUM and not (text[a].isupper() and text[a - 1].islower()):
             continue
-        start = run_right(text, e, _SEPARATOR)
-        if start == e or start - e > 8:
+        start, strong = announced(text, e)
+        if start == e or start >= len(text):
             continue
         stop = run_right(text, start, _IDENTIFIER)
-        if text[a:e].lower() == "iban":
+        cue = text[a:e].translate(_LOWER)
+        if cue == "iban":
             while stop + 1 < len(text) and text[stop] == " " and text[stop + 1] in _ALNUM and stop - start < 42 and not iban(text[start:stop]):
                 stop = run_right(text, stop + 1, _ALNUM)
             if not iban(text[start:stop]):
                 continue
+        elif cue in SECRETS and strong:
+            end = start
+            while end < len(text) and text[end] not in _SECRET_END:
+                end += 1
+            while end > start and text[end - 1] in ".:!?":
+                end -= 1
+            if secret(text[start:end]):
+                stop = end
+            elif stop - start < 8 or sum(c in _DIGITS for c in text[start:stop]) < 6:
+                continue
         elif stop - start < 8 or sum(c in _DIGITS for c in text[start:stop]) < 6:
             continue
         out.append((start, stop))
@@ -185,8 +228,7 @@ def _anchors():
         found.add_word(c, (c if c in "@+" else "0", 1))
     for kind, words in (("cue", CUES), ("scheme", SCHEMES)):
         for w in words:
-            for form in {w, w.upper(), w.capitalize(), w.title()}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(w, (kind, len(w)))
     found.make_automaton()
     return found
 
@@ -196,7 +238,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     if not text:
         return []
     at: dict[str, list] = {"@": [], "+": [], "0": [], "cue": [], "scheme": []}
-    for end, (kind, n) in _anchors().iter(text):
+    for end, (kind, n) in _anchors().iter(text.translate(_LOWER)):
         at[kind].append(end if n == 1 else (end - n + 1, end + 1))
     out = []
     for kind, parse, where in (("email", emails, "@"), ("ip", ips, "0"), ("card", cards, "0"), ("phone", phones, "+"), ("account", accounts, "cue"), ("url", urls, "scheme")):
