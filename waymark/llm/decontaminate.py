@@ -6,11 +6,12 @@ numbered, and the automaton is built over the sequences of numbers; a document,
 that no item has), is scanned once, whatever the number of items. A hit is a word inside an occurrence; hits are mapped
 back to code points of the original text.
 
-The benchmark is the only thing that goes to the driver and to each executor, and its size is counted first: an automaton
-holds at most `block_words` words of patterns. A larger benchmark is cut into blocks of items, and the document rows pass
-through one scan after another, each adding its hits to the row, so nothing is shuffled at any size.
+The benchmark is the only thing that goes to the driver and to each executor, at most `block_words` words of it at a time: that
+bounds the broadcast and the automaton. A benchmark beyond the bound is fetched block by block; the document rows are scanned for
+one block after another and written between, each scan adding its hits to the row, so nothing is shuffled at any size.
 
-Cases: null and empty texts have no words and are clean; items without words match nothing; a missing item_id counts as
+Cases: null and empty texts have no words and are clean; texts of any length are scanned whole; rows that repeat are scanned each; a
+hit in several blocks or of several items counts once; items without words match nothing; a missing item_id counts as
 the id ''; rows of equal item_id are one item; equal documents are scanned each; an empty benchmark leaves all clean; other
 columns are not read.
 """
@@ -24,8 +25,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from waymark.llm.common import texts
+from waymark.llm.common import slices, stored, texts
 
 #: Words in the original text: the normalised words' characters before lower-casing.
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -76,69 +78,72 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of at most block_words words (one larger item is a block of its own), fetched one partition at a time."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[list[tuple[str, str]]]:
+    """Items in blocks of at most block_words words, fetched one partition at a time. A larger item is cut into pieces that overlap by a window less a word, so that every window lies in one of them."""
     block, size = [], 0
     rows = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("i"), F.col(f"`{text_col}`").cast("string").alias("t")).where("t is not null")
     for item, text in rows.toLocalIterator():
-        n = len(normal_words(text))
-        if block and size + n > block_words:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += n
-    if block:
-        yield block
+        words = normal_words(text)
+        step = max(1, block_words - window + 1)
+        pieces = [text] if len(words) <= max(window, block_words) else [b" ".join(words[i : i + step + window - 1]).decode() for i in range(0, len(words) - window + 1, step)]
+        for piece in pieces:
+            n = min(len(words), max(window, block_words))
+            if block and size + n > block_words:
+                yield block
+                block, size = [], 0
+            block.append((item, piece))
+            size += n
+    yield block
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """For each row of docs: doc_id, n_words, n_hit (words inside an occurrence), items (ids found, sorted as strings), spans (code points of the hit words' runs in the original)."""
-    base = texts(docs, id_col, text_col)
-    out = base.select("doc_id", "text", F.lit(None).cast("array<struct<a:int,b:int>>").alias("runs"), F.lit(None).cast("array<string>").alias("items"))
-    spark, schema = docs.sparkSession, out.schema
-    blocks = list(_blocks(benchmark, item_col, item_text_col, block_words)) or [[]]
-    for k, block in enumerate(blocks):
-        shared = spark.sparkContext.broadcast(block)
-        out = out.mapInArrow(_scanner(shared, window, k), schema)
-    return out.mapInArrow(_finish, f"doc_id {_ddl(base)}, n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>")
+    rows = texts(docs, id_col, text_col).select("doc_id", "text", F.lit(None).cast("array<struct<a:int,b:int>>").alias("runs"), F.lit(None).cast("array<string>").alias("items"))
+    found = StructType.fromDDL("n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>")
+    context = docs.sparkSession.sparkContext
+    blocks = _blocks(benchmark, item_col, item_text_col, window, block_words)
+    block = next(blocks)
+    for following in blocks:  # rows are written between blocks, so that one block and one automaton are held at a time
+        rows = stored(rows.mapInArrow(_scanner(context.broadcast(block), window, False), rows.schema), "decontaminate")
+        block = following
+    return rows.mapInArrow(_scanner(context.broadcast(block), window, True), StructType([rows.schema["doc_id"], *found.fields]))
 
 
-def _ddl(base: DataFrame) -> str:
-    return base.schema["doc_id"].dataType.simpleString()
+_RUNS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
-def _scanner(shared, window: int, k: int):
-    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+def _scanner(shared, window: int, last: bool):
+    """Adds what a block finds to runs and items of each row; the last block's makes the result of them."""
 
     def run(batches):
-        automaton = None
+        automaton = Automaton(shared.value, window)
         for batch in batches:
-            if automaton is None:
-                automaton = Automaton(shared.value, window)
-            runs, items = [], []
-            for text, before, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                r, i = automaton.scan(normal_words(text))
-                if before:
-                    r = merged(r + [(x["a"], x["b"]) for x in before])
-                runs.append([{"a": a, "b": b} for a, b in r])
-                items.append(sorted(i.union(found or ())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, kind), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "runs", "items"])
+            for lo, n in slices(batch.column(1)):
+                part = batch.slice(lo, n)
+                all_runs, items, n_words, n_hit, spans = [], [], [], [], []
+                for text, before, found in zip(*[part.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
+                    words = normal_words(text)
+                    runs, own = automaton.scan(words)
+                    if before:
+                        runs = merged(runs + [(x["a"], x["b"]) for x in before])
+                    items.append(sorted(own.union(found or ())))
+                    if last:
+                        n_words.append(len(words))
+                        n_hit.append(sum(b - a for a, b in runs))
+                        at = [m.span() for m in _WORD.finditer(text)] if runs else []
+                        spans.append([{"start": at[a][0], "stop": at[b - 1][1]} for a, b in runs])
+                    else:
+                        all_runs.append([{"a": a, "b": b} for a, b in runs])
+                items = pa.array(items, pa.list_(pa.string()))
+                if last:
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), items, pa.array(spans, _SPANS)], names=["doc_id", "n_words", "n_hit", "items", "spans"])
+                else:
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(all_runs, _RUNS), items], names=["doc_id", "text", "runs", "items"])
 
     return run
 
 
-def _finish(batches):
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-    for batch in batches:
-        n_words, n_hit, spans = [], [], []
-        for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            n_words.append(len(normal_words(text)))
-            n_hit.append(sum(r["b"] - r["a"] for r in runs))
-            at = [m.span() for m in _WORD.finditer(text)] if runs else []
-            spans.append([{"start": at[r["a"]][0], "stop": at[r["b"] - 1][1]} for r in runs])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column(3), pa.array(spans, kind)], names=["doc_id", "n_words", "n_hit", "items", "spans"])
-
-
 def contaminated(n_hit, n_words, one_in: int = 20):
     """The contract's rule: hit words make at least one in `one_in`."""
     return (n_hit > 0) & (one_in * n_hit >= n_words)

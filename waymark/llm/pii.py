@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import map_text, texts
+from waymark.llm.common import map_text, slices, texts
 
 #: Fixed patterns of the base kinds.
 BASE = {
@@ -280,8 +280,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            new = pa.array([redacted(x, find_spans(x)) for x in batch.column(at).to_pylist()], batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([new if i == at else batch.column(i) for i in range(batch.num_columns)], schema=batch.schema)
+            for lo, n in slices(batch.column(at)):
+                part = batch.slice(lo, n)
+                new = pa.array([redacted(x, find_spans(x)) for x in part.column(at).to_pylist()], batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays([new if i == at else part.column(i) for i in range(batch.num_columns)], schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)
 

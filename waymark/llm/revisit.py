@@ -11,7 +11,8 @@ window finds the latest earlier response; across chunks only the last response o
 
 Outcome: resolved, unverified, validator_mismatch, no_earlier_response, and full for records that are responses themselves.
 
-Cases: null or unparsable URLs and null times match nothing; null validators are absent ones; a null header map is empty;
+Cases: null or unparsable URLs and null times match nothing; null validators are absent ones; a null header map is empty; of
+header names that differ in case only, the least one's value counts;
 repeated rows are each resolved; equal times are no earlier; empty tables give empty results; other columns are not read.
 """
 
@@ -60,6 +61,13 @@ def resolve(records: DataFrame, chunk: int = 1_000_000) -> DataFrame:
     return joined.unionByName(rest).select("record_id", "url_key", "ts", *_resolved())
 
 
+def lower_names(entries: Column) -> Column:
+    """A map of headers with names in lower case from an array of entries. Of names that differ in case only, the least one's value stays."""
+    low = F.transform(F.array_sort(entries), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(low, lambda e: e["key"]))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.get(F.filter(low, lambda e: e["key"] == n), F.lit(0))["value"]))
+
+
 def _resolved() -> list[Column]:
     found = F.col("found")
     same_tag = strong(F.col("etag")) == strong(found["etag"])
@@ -70,9 +78,9 @@ def _resolved() -> list[Column]:
         .when(F.col("last_modified").isNotNull(), F.when(F.coalesce(F.col("last_modified") == found["last_modified"], F.lit(False)), "resolved").otherwise("validator_mismatch"))
         .otherwise("unverified")
     )
-    named = F.transform_keys(F.col("headers"), lambda k, _: F.lower(k))
+    named = lower_names(F.map_entries("headers"))
     news = F.map_filter(named, lambda k, _: ~k.isin(*NOT_MERGED))
-    stored = F.transform_keys(F.map_from_entries(found["headers"]), lambda k, _: F.lower(k))
+    stored = lower_names(found["headers"])
     kept = F.map_filter(stored, lambda k, _: ~F.map_contains_key(news, k))
     good = F.col("is_revisit") & outcome.isin("resolved", "unverified")
     return [

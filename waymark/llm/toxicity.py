@@ -4,8 +4,9 @@ P(grade >= k | x) = sigmoid(w.x - t_k), t_1 < t_2 < t_3: one weight vector for a
 severity, the sum of the three probabilities, and the verdict toxic if P(grade >= 1) reaches a half.
 
 Features are sparse: lower-case words and their beginnings of 4 to 8 bytes, named by 64 bits, with value log(1 + count). The
-labels say toxic or not; the grade of a toxic training text is 1 to 3 by the thirds of the density of its telling features
-(log-odds over 2), so grades are ordered by how much of a text is abuse.
+labels say toxic or not; the grade of a toxic training text is 1 to 3 by the thirds of the number of its telling features
+(log-odds over 2), so grades are ordered by how much abuse a text holds. Only toxic or not can be held against the labels: no
+table grades severity, so grades 2 and 3 are not validated.
 
 The model is fitted on at most `max_train` labelled documents, those of the least hash of doc_id (a documented bound; the
 counting and selection of features run in Spark over that sample, and only the `max_features` selected columns reach the
@@ -13,7 +14,8 @@ driver). Scoring is one narrow pass over every whole text with the weights (boun
 
 Cases: null and empty texts and texts without known features score the intercept; labels that are null, of unknown documents
 or repeated are ignored, ignored and merged by maximum; without both classes among the labels severity is 0 and nothing is
-toxic; rows of equal ids are scored each; empty tables give empty results; other columns are not read.
+toxic; rows of equal ids are scored each, and one of them is trained on; ties at the cuts between grades take the lower grade;
+texts of any length are read whole, in slices of a batch; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import LOWER, BYTE_VALUES, Names, Words, map_text, stored, texts
+from waymark.llm.common import LOWER, BYTE_VALUES, Names, Words, map_text, slices, stored, texts
 
 GRADES = 3
 PREFIXES = (4, 5, 6, 7, 8)
@@ -82,16 +84,16 @@ def _counts(train: DataFrame, toxic: bool, known: np.ndarray | None = None) -> D
 
     def run(batches):
         have = None if known is None else Known(known)
-        for batch in batches:
-            part = batch.column(1).to_pylist()
-            if have is None:
-                doc, name = features(part)
-                pairs = name[_first_of_pair(doc, name)]
-            else:
-                _, col, _ = have.columns(part)
-                pairs = have.names[col]
-            found, n = np.unique(pairs, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["feature", "n"])
+        for col in (b.column(1) for b in batches):
+            for lo, size in slices(col):
+                part = col.slice(lo, size).to_pylist()
+                if have is None:
+                    doc, name = features(part)
+                    pairs = name[_first_of_pair(doc, name)]
+                else:
+                    pairs = have.names[have.columns(part)[1]]
+                found, n = np.unique(pairs, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["feature", "n"])
 
     return train.where(F.col("toxic") == int(toxic)).select("doc_id", "text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
@@ -105,7 +107,9 @@ def _first_of_pair(doc: np.ndarray, name: np.ndarray) -> np.ndarray:
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
     """doc_id, text, toxic of at most max_train labelled documents."""
     chosen = labels.select(F.col("doc_id"), F.col("toxic")).where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    return texts(docs).where("text is not null").join(F.broadcast(chosen), "doc_id")  # at most max_train rows of two numbers
+    rows = texts(docs).where("text is not null").join(F.broadcast(chosen), "doc_id")  # at most max_train rows of two numbers
+    # of rows that share an id, the one whose text has the least hash, so that the bound is one of rows
+    return rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one"), F.max("toxic").alias("toxic")).select("doc_id", "one.text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_features: int = 4096, least: int = 4) -> Model | None:
@@ -129,31 +133,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_feature
     def rows(batches):
         have = Known(names)
         for batch in batches:
-            part = batch.column(1).to_pylist()
-            doc, col, count = have.columns(part)
-            cut = np.searchsorted(doc, np.arange(len(part) + 1))
-            words = [len(t.split()) for t in part]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(words, pa.int32()), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(col.astype(np.int32))), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(count.astype(np.int32)))], names=["doc_id", "toxic", "n", "col", "count"]
-            )
-
-    found = train.select(F.col("doc_id").cast("string"), "text", F.col("toxic").cast("int")).mapInArrow(rows, "doc_id string, toxic int, n int, col array<int>, count array<int>").toPandas().sort_values("doc_id", kind="stable")
+            for lo, n in slices(batch.column(1)):
+                doc, col, count = have.columns(batch.column(1).slice(lo, n).to_pylist())
+                cut = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cut, pa.array(x.astype(np.int32))) for x in (col, count)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(2).slice(lo, n), *lists], names=["doc_id", "toxic", "col", "count"])
+
+    found = train.select(F.col("doc_id").cast("string"), "text", F.col("toxic").cast("int")).mapInArrow(rows, "doc_id string, toxic int, col array<int>, count array<int>").toPandas().sort_values("doc_id", kind="stable")
     per = found["col"].map(len).to_numpy()
     row = np.repeat(np.arange(len(found)), per)
     col = np.concatenate([*found["col"], np.zeros(0, int)]).astype(int)
     count = np.concatenate([*found["count"], np.zeros(0, int)])
-    grade = _grades(found["toxic"].to_numpy() > 0, row, count * (odds[col] > 2), found["n"].to_numpy())
+    grade = _grades(found["toxic"].to_numpy() > 0, row, count * (odds[col] > 2))
     weights, thresholds = fit_cumulative(row, col, np.log1p(count), grade, len(names))
     return Model(names, weights, thresholds)
 
 
-def _grades(toxic: np.ndarray, row: np.ndarray, telling: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    density = np.bincount(row, weights=telling, minlength=len(toxic)) / (n_words + 20)
-    cuts = np.quantile(density[toxic], [k / GRADES for k in range(1, GRADES)])
-    return np.where(toxic, 1 + np.searchsorted(cuts, density, side="right"), 0)
+def _grades(toxic: np.ndarray, row: np.ndarray, telling: np.ndarray) -> np.ndarray:
+    """0 for texts that aren't toxic, else 1 to 3 by how often telling features occur in them."""
+    total = np.bincount(row, weights=telling, minlength=len(toxic))
+    cuts = np.quantile(total[toxic], [k / GRADES for k in range(1, GRADES)])
+    return np.where(toxic, 1 + np.searchsorted(cuts, total, side="left"), 0)
 
 
-def fit_cumulative(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 400, ridge: float = 2e-4, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 400, ridge: float = 2e-5, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Maximum likelihood of the proportional-odds model by Adam; thresholds as the first and logs of the gaps, so they stay ordered."""
     n = len(grade)
     p = np.zeros(n_features + GRADES)
@@ -213,8 +216,6 @@ def keep_clean(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, at_l
     at = docs.columns.index("text")
 
     def run(batches):
-        from waymark.llm.common import slices
-
         have = None if model.value is None else Known(model.value.names)
         for batch in batches:
             for lo, n in slices(batch.column(at)):
