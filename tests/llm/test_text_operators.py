@@ -158,27 +158,44 @@ def test_bucket_refinement_equals_brute_force(spark):
         assert out[i]["kept_sha256"] == sha(bytes(c for c, g in zip(s, gone) if not g))
 
 
-def test_survivors_depend_on_their_context_only():
-    random.seed(5)
-    from waymark.llm.common import Names, Words
+def symbols(words):
+    from waymark.llm.common import Words
+
+    one, two = Words([" ".join(words)]).names()
+    edge = np.zeros(len(one), bool)
+    edge[0] = True
+    return recompression.Symbols(one, two, edge)
 
-    def levels(words):
-        w = Words([" ".join(words)])
-        name = w.names()
-        edge = np.zeros(len(name), bool)
-        edge[0] = True
-        return recompression.survivors(name, Names(name), edge)
 
-    c = recompression.CONTEXT
+def test_survivors_depend_on_their_context_only():
+    random.seed(5)
     for _ in range(200):
         core = [random.choice("abc") for _ in range(60)]
-        one = levels([random.choice("abc") for _ in range(random.randint(1, 30))] + core + ["a"] * random.randint(0, 9))
-        two_head = random.randint(1, 30)
-        two = levels([random.choice("abc") for _ in range(two_head)] + core)
-        inner = one[len(one) - 60 - 0 :]  # aligned below
-        del inner
-        first = levels(core)
-        assert (two[two_head + c : two_head + 60 - c] == first[c : 60 - c]).all()
+        head = random.randint(1, 30)
+        one = symbols(core).survival()
+        two = symbols([random.choice("abc") for _ in range(head)] + core + ["a"] * random.randint(0, 9)).survival()[head : head + 60]
+        for k, c in enumerate(recompression.CONTEXTS):
+            assert ((one >= k) == (two >= k))[c : 60 - c + 1].all()
+
+
+def test_symbols_name_equal_ranges_equally_and_others_not():
+    random.seed(6)
+    for _ in range(60):
+        words = [random.choice("ab") for _ in range(400)]
+        core = words[100:160]
+        words[300:360] = core
+        s = symbols(words)
+        a = np.array([random.randint(0, 59) for _ in range(300)])
+        b = np.array([random.randint(x + 1, 60) for x in a])
+        one, far = s.of(100 + a, 100 + b), s.of(300 + a, 300 + b)
+        assert (one[0] == far[0]).all() and (one[1] == far[1]).all()
+        start = np.array([random.randint(0, 340) for _ in range(500)])
+        stop = start + np.array([random.randint(1, 60) for _ in start])
+        named = {}
+        for i, j, x, y in zip(start, stop, *s.of(start, stop)):
+            key = tuple(words[i:j])
+            assert named.setdefault((x, y), key) == key
+        assert len(set(named.values())) == len(named)
 
 
 # --- near duplicates ---

@@ -1,12 +1,15 @@
-"""Operator 6, suffix-array dedup by bucket-pointer refinement.
+"""Operator 6, suffix-array dedup by bucket-pointer refinement of sampled suffixes.
 
 Texts are bytes. The suffixes sampled are those that start at a minimiser: of the 128-byte q-grams inside a 400-byte window,
 the one of least name, the first among equals; every window has one, found from the window alone. Their initial buckets are the
-q-grams. A bucket with more than one suffix is refined: its suffixes, with the bytes before them, are told apart by the
-identifiers of the buckets of the longer strings that start at earlier and later offsets (blocks of offsets first, then single ones), in the
-Spark rounds of waymark.llm.repeats, each of which sorts on (bucket, refined bucket) and hands on only what is still
-undecided. An identifier is a name that depends on content alone, so what one round has found is reused by the next
-without a global rank. Suffixes alone in their bucket are done; so are those whose longest string is shared.
+q-grams. A suffix alone in its bucket is done: no window at it can occur twice. A bucket with more suffixes is refined, in the Spark
+rounds of waymark.llm.repeats: its members, with the bytes before them, are sorted on (bucket, identifiers of the strings at earlier
+and later offsets), first for blocks of 17 offsets, then for single ones; each refined bucket keeps the identifier of the one it comes
+from, and only members that are still undecided go to the next round.
+
+Identifiers of the longer strings are those of shorter ones used again: an identifier of 2^k q bytes is that of the pair of
+identifiers of 2^(k-1) q bytes at offset 0 and at offset 2^(k-1) q (class Buckets), down to the q-grams, whose bucket is a function of their
+bytes. So identifiers need no global table, and a string gets the same one wherever it stands.
 
 Result: every byte inside a 400-byte string that starts anywhere else too, the same document included, judged on the input;
 matches don't cross documents.
@@ -24,28 +27,53 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from waymark.llm.common import BYTE_VALUES, Names, mix
+from waymark.llm.common import BYTE_VALUES, Names, PrimeNames, pair
 from waymark.llm.repeats import Layout, Scheme, covered, finish, keyed, repeated_blocks
 
-_SECOND = mix(BYTE_VALUES ^ np.uint64(0xD6E8FEB86659FD93))
+
+class Buckets:
+    """Identifiers of strings of at least q bytes, two of 62 bits or more each, made of the buckets of their q-grams by doubling."""
+
+    def __init__(self, buf: np.ndarray, q: int) -> None:
+        self.grams, self.q = PrimeNames(buf), q
+
+    def doubled(self, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of the 2^k q bytes at `at`, from those of half as many at two offsets."""
+        if k == 0:
+            return self.grams.of(at, at + self.q)
+        here, later = self.doubled(at, k - 1), self.doubled(at + (self.q << (k - 1)), k - 1)
+        return pair(here[0], later[0]), pair(here[1], later[1])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Any other length is covered by the largest doubled strings at its two ends, which overlap."""
+        length = stop - start
+        out = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+        for k in range(int(length.max(initial=0) // self.q).bit_length()):
+            m = self.q << k
+            own = np.flatnonzero((length >= m) & (length < 2 * m))
+            first, last = self.doubled(start[own], k), self.doubled(stop[own] - m, k)
+            size = length[own].astype(np.uint64)
+            for x, a, b in zip(out, first, last, strict=True):
+                x[own] = pair(pair(a, b), size)
+        return out
 
 
 def scheme(window: int = 400, q: int = 128, block: int = 17) -> Scheme:
     """q: bytes of an initial bucket; block: offsets that are refined together before single ones are."""
     if not 0 < q < window:
         raise ValueError("q is less than the window")
+    block = min(block, window - q + 1)
 
     def lay_out(batch: list) -> Layout:
         raw = [t.encode() if t else b"" for t in batch]
         buf = np.frombuffer(b"".join(raw), np.uint8)
         hi = np.cumsum([len(r) for r in raw]).astype(np.int64)
         lo = hi - np.array([len(r) for r in raw], np.int64)
-        one = Names(BYTE_VALUES[buf])
         i = np.arange(len(buf))
-        priority = one.of(i, np.minimum(i + q, len(buf)))
-        return Layout(lo, hi, one, Names(_SECOND[buf], base=0xA0761D6478BD642F), priority)
+        priority = Names(BYTE_VALUES[buf]).of(i, np.minimum(i + q, len(buf)))
+        return Layout(lo, hi, Buckets(buf, q).of, priority)
 
-    return Scheme("buckets", window, 0, window - q + 1, (min(block, window - q + 1), 1), lay_out)
+    return Scheme("buckets", window, 0, window - q + 1, (block, 1), lay_out)
 
 
 def remove_repeats(docs: DataFrame, window: int = 400, outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "spans", "kept"), id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +23,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, from spark.checkpoint.dir or the context's checkpoint folder. One of our own only in local mode, where there are no other machines: on a cluster a setting is asked for."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        current = spark.sparkContext.getCheckpointDir()
-        if current is None:
-            import tempfile
-
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-            current = spark.sparkContext.getCheckpointDir()
-        at = current
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
 
 
@@ -39,7 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/waymark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that stored() has made and nothing will read any more. Hadoop's file system does it, as Spark has no call for that."""
+    for t in tables:
+        spark = t.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def let_go(spark: SparkSession) -> None:
@@ -107,9 +116,8 @@ def trim() -> None:
         _LIBC.malloc_trim(0)
 
 
-# --- 64-bit rolling names of byte ranges -----------------------------------------------------------------------------
+# --- names of ranges: functions of content alone, so tasks agree on them without a dictionary --------------------------
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -122,42 +130,69 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
-class Powers:
-    """Powers of an odd base modulo 2^64, as far as asked for."""
-
-    def __init__(self, base: int) -> None:
-        self.base = np.uint64(base | 1)
-        self.values = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> np.ndarray:
-        while len(self.values) < n:
-            with np.errstate(over="ignore"):
-                step = self.values[-1] * self.base
-                self.values = np.concatenate([self.values, self.values * step])
-        return self.values[:n]
+def powers(base: int, n: int, modulus: int = 0) -> np.ndarray:
+    """The first n powers of base, modulo 2^64 or a modulus below 2^32. What was asked for before is kept, up to a million of each."""
+    key = (base, modulus)
+    have = _POWERS.get(key, np.ones(1, np.uint64))
+    while len(have) < n:
+        with np.errstate(over="ignore"):
+            step = np.uint64(pow(base, len(have), modulus or 1 << 64))
+            more = have * step
+        have = np.concatenate([have, more % np.uint64(modulus) if modulus else more])
+    if len(have) <= 1 << 20:
+        _POWERS[key] = have
+    return have[:n]
 
 
-_POWERS: dict[int, tuple[Powers, Powers]] = {}
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
 class Names:
-    """64-bit names of the ranges of a byte or symbol array: equal ranges have equal names anywhere in the corpus. A polynomial modulo 2^64 with an odd base, taken over mixed items so that short cycles of the modulus don't show, and mixed again."""
+    """64-bit names of the ranges of an array of items that are names themselves: a polynomial modulo 2^64 with an odd base, mixed. For short ranges and for choices that needn't be injective: long patterned ranges of two items can be made to collide, so whatever decides equality of long ranges uses PrimeNames or names of recompression."""
 
     def __init__(self, items: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> None:
-        if base not in _POWERS:
-            _POWERS[base] = (Powers(base), Powers(pow(base | 1, -1, 1 << 64)))
-        powers, inverse = _POWERS[base]
-        n = len(items)
+        n, base = len(items), base | 1
         with np.errstate(over="ignore"):
-            self.inverse = inverse.upto(n + 1)
+            self.inverse = powers(pow(base, -1, 1 << 64), n + 1)
             self.sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(items * powers.upto(n + 1)[:n], out=self.sums[1:])
+            np.cumsum(items * powers(base, n + 1)[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64) * _M2)
 
 
+#: Four primes below 2^31, each with a base.
+FIELDS = ((2147483647, 1203798337), (2147483629, 708425113), (2147483587, 1918726363), (2147483579, 331998527))
+
+
+class PrimeNames:
+    """Two names of 62 bits of the ranges of a byte array: polynomials over four prime fields, in which patterned strings don't cancel out."""
+
+    def __init__(self, buf: np.ndarray) -> None:
+        n = len(buf)
+        items = buf.astype(np.uint64) + np.uint64(1)
+        self.fields = []
+        for p, base in FIELDS:
+            sums = np.zeros(n + 1, np.uint64)
+            power, modulus = powers(base, n + 1, p), np.uint64(p)
+            for lo in range(0, n, 1 << 24):  # sums of so many products stay below 2^64
+                hi = min(n, lo + (1 << 24))
+                np.cumsum(items[lo:hi] * power[lo:hi], out=sums[lo + 1 : hi + 1])
+                sums[lo + 1 : hi + 1] += sums[lo] % modulus
+            self.fields.append((modulus, sums, powers(pow(base, -1, p), n + 1, p)))
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        part = [(sums[stop] % p + p - sums[start] % p) % p * inverse[start] % p for p, sums, inverse in self.fields]
+        return mix(part[0] << np.uint64(31) | part[1]), mix(part[2] << np.uint64(31) | part[3])
+
+
+def pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A name for the pair of two names, in this order."""
+    with np.errstate(over="ignore"):
+        return mix(mix(x) * _M2 + y)
+
+
 #: Values of single bytes for Names.
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
 SPACE = np.zeros(256, bool)
@@ -185,5 +220,12 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(raw)), self.count)
 
-    def names(self) -> np.ndarray:
-        return Names(BYTE_VALUES[self.buf]).of(self.start, self.stop)
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit names of each word, the halves of its 128-bit xxh3: each distinct word of the batch is hashed once."""
+        offsets = np.zeros(len(self.start) + 1, np.int64)
+        np.cumsum(self.stop - self.start, out=offsets[1:])
+        solid = self.buf[~SPACE[self.buf]]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(offsets), pa.py_buffer(solid)]).dictionary_encode()
+        digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, coded.dictionary.to_pylist())), np.uint64).reshape(-1, 2)
+        code = coded.indices.to_numpy()
+        return digest[code, 0], digest[code, 1]

@@ -11,8 +11,8 @@ a threshold, here written as least / 100. Documents of equal sets are one node f
    components): a set lies in one region only, and regions are closed under linking.
 2. Voronoi regions. A region too large for one task is cut: a few of its sets are pivots, and every set goes to the region of its
    nearest pivot, and by the triangle inequality also to that of every pivot at most twice the threshold distance further away, where
-   a linked set could have gone. This recurs; a region that pivots no longer cut (all sets about equally far from
-   each other) is cut into blocks of which every two meet in a task.
+   a linked set could have gone. This recurs; a region that pivots don't cut (they are within that distance of each other themselves)
+   is cut into blocks of which every two meet in a task.
 3. Inside a task, sets are compared exactly. Each set is a pivot in its turn: its distances to all others are one vector
    operation; others of unsuitable size, or outside the window |d(p,x) - d(p,y)| <= threshold of an earlier pivot p, need no
    comparison. Every link is found, and counted once however often its sets meet: in the region whose pivot is
@@ -32,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from waymark.llm.common import LOWER, Names, Words, let_go, mix, slices, stored
+from waymark.llm.common import LOWER, Words, let_go, mix, slices, stored
 from waymark.llm.components import components
 from waymark.llm.repeats import keyed
 
@@ -41,14 +42,25 @@ from waymark.llm.repeats import keyed
 COUNTED = np.uint64(3)
 
 
+#: Odd factors of the words of a shingle, by place, and what stands for a word after the end of a text that is shorter than a shingle.
+PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+NO_WORD = np.uint64(0x8EBC6AF09C88C6E3)
+
+
 def shingles(batch: list, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text as sorted names, one text after the other, and where each text's begin."""
+    """Distinct shingles of each text as sorted names, one text after the other, and where each text's begin. A shingle's name is a mixed sum of its words' hashes, each times the factor of its place."""
     words = Words(batch, LOWER)
-    names = Names(words.names())
+    word, _ = words.names()
     count = np.where(words.count == 0, 0, np.maximum(1, words.count - k + 1))
     doc = np.repeat(np.arange(len(batch)), count)
     at = words.first[:-1][doc] + np.arange(len(doc)) - (np.cumsum(count) - count)[doc]
-    name = names.of(at, np.minimum(at + k, words.first[1:][doc]))
+    stop = words.first[1:][doc]
+    with np.errstate(over="ignore"):
+        name = word[at] * PLACES[0]
+        for j in range(1, k):
+            inside = at + j < stop
+            name += np.where(inside, word[np.where(inside, at + j, at)], NO_WORD) * PLACES[j % len(PLACES)]
+    name = mix(name)
     order = np.lexsort((name, doc))
     name, doc = name[order], doc[order]
     new = np.ones(len(name), bool)
@@ -57,9 +69,19 @@ def shingles(batch: list, k: int) -> tuple[np.ndarray, np.ndarray]:
     return name, np.searchsorted(doc, np.arange(len(batch) + 1))
 
 
-def node_of(name: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """A name for each set: of the sequence of its sorted shingles."""
-    return Names(name, base=0xC2B2AE3D27D4EB4F).of(cut[:-1], cut[1:]).view(np.int64)
+def node_of(name: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two names of each set, of 64 bits: sums of two hashes of its shingles."""
+    out = []
+    for salt in (np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC2B2AE3D27D4EB4F)):
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(name ^ salt))])
+            out.append(mix(sums[cut[1:]] - sums[cut[:-1]] + np.diff(cut).astype(np.uint64)).view(np.int64))
+    return out[0], out[1]
+
+
+def told_apart(node: np.ndarray, second: np.ndarray, clashes: np.ndarray) -> np.ndarray:
+    """The first name, or the second where the first is one of several sets': so 128 bits tell sets apart."""
+    return np.where(np.isin(node, clashes), second, node) if len(clashes) else node
 
 
 def missing(n: np.ndarray, least: int) -> np.ndarray:
@@ -153,7 +175,8 @@ def _sets(shingle: int):
         for b in batches:
             for lo, n in slices(b.column(3)):
                 name, cut = shingles(b.column(3).slice(lo, n).to_pylist(), shingle)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.array(node_of(name, cut)), pa.array(np.diff(cut).astype(np.int64)), pa.array(list(sketches(name, cut)), pa.binary())], names=["k1", "k2", "doc_id", "node", "n", "sketch"])
+                node, second = node_of(name, cut)
+                yield pa.RecordBatch.from_arrays([*[b.column(i).slice(lo, n) for i in range(3)], pa.array(node), pa.array(second), pa.array(np.diff(cut).astype(np.int64)), pa.array(list(sketches(name, cut)), pa.binary())], names=["k1", "k2", "doc_id", "node", "second", "n", "sketch"])
 
     return run
 
@@ -178,11 +201,11 @@ def landmarks(name: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 def _cells(shingle: int, least: int, shared):
     def run(batches):
-        heavy = shared.value
+        heavy, clashes = shared.value
         for b in batches:
             for lo, n in slices(b.column(0)):
                 name, cut = shingles(b.column(0).slice(lo, n).to_pylist(), shingle)
-                node, size = node_of(name, cut), np.diff(cut)
+                node, size = told_apart(*node_of(name, cut), clashes), np.diff(cut)
                 doc = np.repeat(np.arange(n), size)
                 order = np.lexsort((landmarks(name, heavy), doc))
                 place = np.arange(len(name)) - cut[:-1][doc]
@@ -266,32 +289,55 @@ def _in_task(least: int, count: bool):
 MEMBER = {"region": pa.int64(), "node": pa.int64(), "n": pa.int64(), "shingles": pa.list_(pa.int64()), "copies": pa.int64(), "home": pa.bool_(), "side": pa.int64()}
 
 
-def _distances(sets: np.ndarray, pivots: list[np.ndarray]) -> np.ndarray:
-    out = []
-    for p in pivots:
-        inner = np.isin(sets, p, assume_unique=True).sum()
-        out.append(1 - inner / max(1, len(sets) + len(p) - inner))
-    return np.array(out)
+def _to_pivots(least: int):
+    """Of rows sorted by region and pile, each pile led by the pivots of its region: members of the pivots' cells. Pivots that don't part even one another leave their region as it is, with side STUCK."""
+    reach = 2 * (1 - least / 100) + 1e-9
 
+    def distances(values: np.ndarray, cut: np.ndarray, p: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(p, values), len(p) - 1)
+        inner = np.add.reduceat((p[at] == values).astype(np.int64), cut[:-1])
+        return 1 - inner / (np.diff(cut) + len(p) - inner)
 
-def _to_pivots(least: int):
-    reach = 1 - least / 100
+    def cells(table: pa.Table, pivots: list[tuple[int, np.ndarray]]) -> pa.Table:
+        column = table.column("shingles").combine_chunks()
+        cut = column.offsets.to_numpy()
+        values, cut = column.flatten().to_numpy(), cut - cut[0]
+        own = np.concatenate([p for _, p in pivots])
+        ends = np.concatenate([[0], np.cumsum([len(p) for _, p in pivots])])
+        apart = np.array([distances(own, ends, p) for _, p in pivots])
+        if 2 * (apart <= reach).sum() > len(pivots) ** 2:
+            return table.set_column(table.schema.get_field_index("side"), "side", pa.array(np.full(len(table), STUCK)))
+        d = np.array([distances(values, cut, p) for _, p in pivots])
+        nodes = np.array([node for node, _ in pivots])
+        pivot, row = np.nonzero(d <= d.min(0) + reach)
+        nearest = d.argmin(0)
+        out = table.take(pa.array(row))
+        region = mix(out.column("region").to_numpy().view(np.uint64) ^ mix(nodes[pivot].view(np.uint64))).view(np.int64)
+        home = out.column("home").to_numpy(zero_copy_only=False) & (nearest[row] == pivot)
+        return out.set_column(0, "region", pa.array(region)).set_column(5, "home", pa.array(home))
 
     def run(batches):
-        for b in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):
-            rows: dict[str, list] = {c: [] for c in MEMBER}
-            for region, node, n, own, copies, home, side, pivots in zip(*[b.column(i).to_pylist() for i in range(8)], strict=True):
-                d = _distances(np.array(own), [np.array(p["shingles"]) for p in pivots])
-                nearest = min(zip(d.tolist(), (p["node"] for p in pivots), strict=True))[1]
-                for p in np.flatnonzero(d <= d.min() + 2 * reach + 1e-9):
-                    to = pivots[p]["node"]
-                    for c, x in zip(MEMBER, (hash((region, to)), node, n, own, copies, home and to == nearest, side), strict=True):
-                        rows[c].append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in MEMBER.items()], names=list(MEMBER))
+        pile, pivots = None, []
+        for batch in batches:
+            mark = np.stack([batch.column(i).to_numpy() for i in (0, len(MEMBER))])
+            edge = np.concatenate([[0], np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(0)) + 1, [batch.num_rows]])
+            for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                part = pa.Table.from_batches([batch.slice(lo, hi - lo)])
+                if pile != (here := tuple(mark[:, lo].tolist())):
+                    pile, pivots = here, []
+                leads = part.column("leads").to_numpy(zero_copy_only=False)
+                k = int(leads.sum())  # pivots come first
+                pivots += [(node, np.array(p)) for node, p in zip(part.column("node").slice(0, k).to_pylist(), part.column("shingles").slice(0, k).to_pylist(), strict=True)]
+                if k < len(part):
+                    yield from cells(part.slice(k).select(list(MEMBER)), pivots).to_batches()
 
     return run
 
 
+#: A side of sets whose region pivots don't cut. Members of a pile.
+STUCK, PILE = -2, 1000
+
+
 #: Shingles of all sets that a task holds at once.
 HELD = 4_000_000
 
@@ -304,26 +350,36 @@ def _too_large(members: DataFrame, work: int) -> DataFrame:
 
 
 def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivots: int = 8) -> DataFrame:
-    """members (columns MEMBER) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks."""
-    done = []
+    """members (columns MEMBER) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks. A large region is dealt over piles, to each of which its pivots go, so no task holds a region."""
+    done, blocked = [], []
     for k in range(rounds + 1):
         size = stored(_too_large(members, work), f"jaccard-large{k}")
         if size.isEmpty():
             break
         done.append(members.join(size, "region", "left_anti"))
         large = members.join(size, "region")
-        if k < rounds:
-            chosen = large.where(F.pmod(F.xxhash64("node", F.lit(k)), F.col("m")) < 2 * pivots).groupBy("region").agg(F.collect_list(F.struct("node", "shingles")).alias("pivots"))
-            whole = large.join(chosen, "region", "left_anti").drop("m", "total", "over")  # no pivot by chance: stays for the next round
-            fresh = large.join(chosen, "region").select(*MEMBER, "pivots").mapInArrow(_to_pivots(least), members.schema)
-            members = stored(fresh.unionByName(whole), f"jaccard-cut{k}")
-        else:
-            blocks = 2 * F.ceil(F.sqrt("over"))
-            own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
-            met = large.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-            members = met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node", "n", "shingles", "copies", "home", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).cast("bigint").alias("side"))
+        if k == rounds:
+            blocked.append(large)
+            members = members.where("false")
+            break
+        stuck = large.where(F.col("side") == STUCK)
+        blocked.append(stuck)
+        dealt = large.where(F.col("side") != STUCK).withColumn("piles", F.ceil(F.col("m") / PILE))
+        chosen = dealt.where(F.pmod(F.xxhash64("node", F.lit(k)), F.col("m")) < 2 * pivots)
+        leads = chosen.withColumn("pile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("piles") - 1)))
+        rows = dealt.withColumn("pile", F.pmod(F.xxhash64("node", F.lit("pile")), F.col("piles")))
+        has = chosen.select("region").distinct()
+        whole = rows.join(has, "region", "left_anti").select(*MEMBER)  # no pivot by chance: stays for the next round
+        both = leads.select(*MEMBER, "pile", F.lit(True).alias("leads")).unionByName(rows.join(has, "region", "left_semi").select(*MEMBER, "pile", F.lit(False).alias("leads")))
+        fresh = both.repartition("region", "pile").sortWithinPartitions("region", "pile", F.desc("leads")).mapInArrow(_to_pivots(least), members.schema)
+        members = stored(fresh.unionByName(whole), f"jaccard-cut{k}")
+    for large in blocked:
+        met = large.withColumn("blocks", 2 * F.ceil(F.sqrt("over"))).withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")))
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        side = F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).cast("bigint").alias("side")
+        members = members.unionByName(met.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "node", "n", "shingles", "copies", "home", side))
     for part in done:
-        members = members.unionByName(part.select(*members.columns))
+        members = members.unionByName(part.select(*members.columns).withColumn("side", F.greatest("side", F.lit(-1).cast("bigint"))))
     return members
 
 
@@ -340,16 +396,21 @@ def _least_count(counts: DataFrame, heavy: int) -> int:
     return least
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 2_000_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 400_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links), and, unless links is false, n_links (the other rows that the row links with). work: sets times shingles that one task compares."""
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
-    kind = base.schema["doc_id"].dataType.simpleString()
-    sets = stored(base.mapInArrow(_sets(shingle), f"k1 long, k2 int, doc_id {kind}, node long, n long, sketch binary"), "jaccard-sets")
+    fields = StructType.fromDDL("k1 long, k2 int, doc_id int, node long, second long, n long, sketch binary").fields
+    fields[2] = base.schema["doc_id"]
+    sets = stored(base.mapInArrow(_sets(shingle), StructType(fields)), "jaccard-sets")
+    # names of two sets that are one by chance: at 10^10 sets 3 are expected
+    clashes = sets.groupBy("node").agg(F.min("second").alias("a"), F.max("second").alias("z")).where("a <> z").select("node").toPandas()["node"].to_numpy(np.int64)
+    sets = sets.withColumn("node", F.when(F.col("node").isin(clashes.tolist()), F.col("second")).otherwise(F.col("node"))) if len(clashes) else sets
+    sets = sets.drop("second")
     known = base.where("text is not null").select("text")
     counts = stored(known.mapInArrow(_counted(shingle), "landmark long").groupBy("landmark").count().where("count > 7"), "jaccard-counts")
     often = counts.where(F.col("count") >= _least_count(counts, heavy)).select("landmark").toPandas()
-    shared = spark.sparkContext.broadcast(np.sort(often["landmark"].to_numpy(np.int64).view(np.uint64)))  # at most `heavy` numbers
+    shared = spark.sparkContext.broadcast((np.sort(often["landmark"].to_numpy(np.int64).view(np.uint64)), clashes))  # at most `heavy` numbers
     let_go(spark)
     cells = stored(known.mapInArrow(_cells(shingle, least, shared), "landmark long, node long"), "jaccard-cells")
     meet = cells.groupBy("landmark").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("landmark")

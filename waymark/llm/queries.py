@@ -53,12 +53,13 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id")
+    """n_links: the other documents that a document links with."""
+    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What op3_jaccard_join gives, with the number of links of each document."""
-    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=3, least=90).select("doc_id", "n_shingles", "component_id", "n_links")
+    """The same at the corpus pipeline's shingles of five words and similarity of 0.8."""
+    return jaccard.jaccard_components(_documents(spark, sf_dir), shingle=5, least=80).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,4 +173,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 }
 
 _LAST = "SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles,"
-ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_join"].replace(_LAST, _LAST + " (SELECT count(*) FROM both_ways WHERE x = d.doc_id) AS n_links,")
+ORACLES["op3_jaccard_join"] = ORACLES["op3_jaccard_join"].replace(_LAST, _LAST + " (SELECT count(*) FROM both_ways WHERE x = d.doc_id) AS n_links,")
+_FIVE = {"len(w) < 3": "len(w) < 5", "w[i : i + 2]": "w[i : i + 4]", "len(w) - 1)": "len(w) - 3)", ">= 90 *": ">= 80 *"}
+ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_join"]
+for _three, _five in _FIVE.items():
+    ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_links"].replace(_three, _five)

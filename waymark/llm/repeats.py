@@ -11,10 +11,10 @@ block, the intersection of its windows is a string that all of them hold, the un
 * a union that occurs twice: all of them do;
 * otherwise the block is cut into smaller ones (block_sizes), and a Spark round names their intersections and unions anew.
 
-A round groups by the name of the intersection (bucket), counts the unions within, and hands on, for buckets with an open
-member, one representative of each union. The last round has blocks of one window, where intersection and union are one.
-Names are functions of content alone, so tasks agree on them without a dictionary: 64 bits for intersections, which only
-prune, and 128 bits for unions, which decide.
+A round sorts by bucket, counts the unions within, and hands on, for buckets with an open member, one representative of each
+union together with its bucket. The next round refines that bucket: its blocks are named by it and by their intersections. The
+last round has blocks of one window, where intersection and union are one. Names are functions of content alone, so tasks
+agree on them without a dictionary: 64 bits for buckets, which only prune, and 124 or more for unions, which decide.
 
 Every group is an aggregate with partial sums, or a join that Spark can split, so one string may occur any number of times;
 no pairs are made. Texts are joined to their open blocks by a 96-bit key of id and text, which copies don't share.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import Names, let_go, mix, slices, small_batches, stored
+from waymark.llm.common import forget, let_go, mix, pair, slices, small_batches, stored
 
 _KEY = "k1 long, k2 int"
 _ROW = f"bucket long, u1 long, u2 long, {_KEY}, at long"
@@ -38,12 +38,11 @@ _ROW = f"bucket long, u1 long, u2 long, {_KEY}, at long"
 
 @dataclass
 class Layout:
-    """A batch of texts as one array of items: lo and hi of each text, names of ranges, and each position's priority (least first)."""
+    """A batch of texts as one array of items: lo and hi of each text, two names of the ranges from starts to stops, and each position's priority (least first)."""
 
     lo: np.ndarray
     hi: np.ndarray
-    one: Names
-    two: Names
+    names: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     priority: np.ndarray
 
 
@@ -65,11 +64,11 @@ def anchors(scheme: Scheme, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.nda
     starts = np.repeat(lay.lo, np.maximum(0, count - scheme.window + 1))
     if not len(starts):
         return (np.zeros(0, np.int64),) * 3
-    within = np.arange(len(starts)) - np.repeat(np.cumsum(np.maximum(0, count - scheme.window + 1)) - np.maximum(0, count - scheme.window + 1), np.maximum(0, count - scheme.window + 1))
-    starts = starts + within
-    n = len(lay.priority)
-    mask = np.uint64((1 << max(26, n.bit_length())) - 1)  # the same in every batch, whatever its size
-    least = (lay.priority & ~mask) | np.arange(n, dtype=np.uint64)
+    here = np.maximum(0, count - scheme.window + 1)
+    starts = starts + np.arange(len(starts)) - np.repeat(np.cumsum(here) - here, here)
+    # 32 bits of priority and the place: of equal priorities the first wins. Arrow's strings are below 2^31 bytes, so places fit
+    mask = np.uint64(0xFFFFFFFF)
+    least = (lay.priority & ~mask) | np.arange(len(lay.priority), dtype=np.uint64)
     span = 1
     while span * 2 <= scheme.width:
         least = np.minimum(least[:-span], least[span:])
@@ -82,13 +81,14 @@ def anchors(scheme: Scheme, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.nda
     return at[first], starts[first], starts[last]
 
 
-def named(scheme: Scheme, lay: Layout, text: np.ndarray, at: np.ndarray, near: np.ndarray, far: np.ndarray) -> list[np.ndarray]:
-    """Names of the intersection (one) and union (two) of the windows of anchors at distances near to far."""
+def named(scheme: Scheme, lay: Layout, text: np.ndarray, at: np.ndarray, near: np.ndarray, far: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
+    """Buckets, which are refined from the parents' by the intersection, and names of the union of the windows of anchors at distances near to far."""
     lo, hi = lay.lo[text], lay.hi[text]
-    inner = lay.one.of(np.maximum(lo, at - near), np.minimum(hi, at - far + scheme.window)) + near.astype(np.uint64)
+    inner, _ = lay.names(at - near, at - far + scheme.window)
     a, b = np.maximum(lo, at - far), np.minimum(hi, at - near + scheme.window)
-    place = mix((at - a).astype(np.uint64) * np.uint64(1 << 20) + near.astype(np.uint64))
-    return [mix(inner).view(np.int64), (lay.one.of(a, b) ^ place).view(np.int64), (lay.two.of(a, b) + place).view(np.int64)]
+    one, two = lay.names(a, b)
+    place = mix((at - a).astype(np.uint64) << np.uint64(32) | (b - a).astype(np.uint64) << np.uint64(16) ^ near.astype(np.uint64))
+    return [x.view(np.int64) for x in (pair(parent.view(np.uint64), inner + near.astype(np.uint64)), one ^ place, two + place)]
 
 
 def _pack(at: np.ndarray, near: np.ndarray, level: int, target) -> np.ndarray:
@@ -108,14 +108,14 @@ def _first_round(scheme: Scheme) -> Callable:
                 at, _, _ = anchors(scheme, lay)
                 text = np.searchsorted(lay.lo, at, "right") - 1
                 near = np.full(len(at), scheme.near)
-                cols = named(scheme, lay, text, at, near, near + scheme.width - 1)
+                cols = named(scheme, lay, text, at, near, near + scheme.width - 1, np.zeros(len(at), np.int64))
                 yield _rows(cols, k1[lo + text], k2[lo + text], _pack(at - lay.lo[text], near, 0, 1))
 
     return run
 
 
 def _next_round(scheme: Scheme, level: int) -> Callable:
-    """Cuts the open blocks of each text (column 3, packed) into those of this level."""
+    """Cuts the open blocks of each text (column 3: packed, and their buckets) into those of this level."""
     wide = scheme.width if level == 1 else scheme.block_sizes[level - 2]
     size = scheme.block_sizes[level - 1]
 
@@ -126,7 +126,7 @@ def _next_round(scheme: Scheme, level: int) -> Callable:
                 lay = scheme.lay_out(batch.column(2).slice(lo, n).to_pylist())
                 at, s_first, s_last = anchors(scheme, lay)
                 part = opened.slice(lo, n)
-                packed = part.flatten().to_numpy()
+                packed, parent = (part.values.field(c).to_numpy()[part.offsets[0].as_py() : part.offsets[-1].as_py()] for c in ("at", "bucket"))
                 text = np.repeat(np.arange(n), np.diff(part.offsets.to_numpy()))
                 where = (packed >> 16) + lay.lo[text]
                 own = np.searchsorted(at, where)
@@ -137,28 +137,31 @@ def _next_round(scheme: Scheme, level: int) -> Callable:
                 far = np.minimum(near + size, np.minimum(start + wide, scheme.near + scheme.width)[:, None]) - 1
                 use = (near <= d_max[:, None]) & (far >= d_min[:, None]) & (near <= far)
                 row, _ = np.nonzero(use)
-                cols = named(scheme, lay, text[row], where[row], near[use], far[use])
+                cols = named(scheme, lay, text[row], where[row], near[use], far[use], parent[row])
                 yield _rows(cols, k1[lo + text[row]], k2[lo + text[row]], _pack(where[row] - lay.lo[text[row]], near[use], level, target[row]))
 
     return run
 
 
-def _settle(rows: Callable[[], DataFrame], scheme: Scheme, level: int) -> tuple[DataFrame, DataFrame]:
-    """One round: keys and blocks found to be repeated, and blocks still open with the representatives they are to be compared with."""
-    # stored, so that the join below has an exchange of its own on both sides and Spark can split a bucket of very many rows
-    shared = stored(rows().groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), f"{scheme.name}-shared{level}")
-    let_go(shared.sparkSession)
-    members = stored(rows().join(shared, "bucket", "left_semi"), f"{scheme.name}-members{level}")
-    let_go(members.sparkSession)
+def _settle(rows: DataFrame, scheme: Scheme, level: int) -> tuple[DataFrame, DataFrame]:
+    """One round over stored rows: keys and blocks found to be repeated, and blocks still open with the representatives they are to be compared with."""
+    spark = rows.sparkSession
+    # tables that a join reads twice are stored, so that it has an exchange of its own on both sides and Spark can split a bucket of very many rows
+    shared = stored(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), f"{scheme.name}-shared{level}")
+    let_go(spark)
+    members = stored(rows.join(shared, "bucket", "left_semi"), f"{scheme.name}-members{level}")
+    forget(rows, shared)
+    let_go(spark)
     classes = members.groupBy("bucket", "u1", "u2").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one"))
     classes = stored(classes, f"{scheme.name}-classes{level}")
-    let_go(classes.sparkSession)
+    let_go(spark)
     twice = classes.where("n > 1").select("bucket", "u1", "u2")
     done = members.where("at & 1 = 1").join(twice, ["bucket", "u1", "u2"], "left_semi").select("k1", "k2", "at")
     done = stored(done, f"{scheme.name}-done{level}")
+    forget(members)
     alone = (F.col("n") == 1) & (F.col("one.at").bitwiseAND(F.lit(1)) == 1)
-    open_buckets = classes.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(alone).alias("open")).where("classes > 1 and open").select("bucket")
-    still = classes.join(open_buckets, "bucket", "left_semi").select("one.k1", "one.k2", F.when(alone, F.col("one.at")).otherwise(F.col("one.at").bitwiseAND(F.lit(-2))).alias("at"))
+    open_buckets = stored(classes.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(alone).alias("open")).where("classes > 1 and open").select("bucket"), f"{scheme.name}-open{level}")
+    still = classes.join(open_buckets, "bucket", "left_semi").select("one.k1", "one.k2", F.struct(F.when(alone, F.col("one.at")).otherwise(F.col("one.at").bitwiseAND(F.lit(-2))).alias("at"), "bucket").alias("at"))
     return done, still
 
 
@@ -179,19 +182,22 @@ def by_text(blocks: DataFrame, name: str) -> DataFrame:
 def repeated_blocks(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """k1, k2, blocks: the blocks of each text whose windows occur elsewhere. docs: as from keyed()."""
     base = docs.where("text is not null").select("k1", "k2", "text")
-    done, still = _settle(lambda: base.mapInArrow(_first_round(scheme), _ROW), scheme, 0)
+    rows = stored(base.mapInArrow(_first_round(scheme), _ROW), f"{scheme.name}-rows0")
+    done, still = _settle(rows, scheme, 0)
     found = [done]
     for level in range(1, len(scheme.block_sizes) + 1):
-        opened = by_text(still, f"{scheme.name}-open{level}")
-        rows = base.join(opened, ["k1", "k2"]).select("k1", "k2", "text", "blocks").mapInArrow(_next_round(scheme, level), _ROW)
-        rows = stored(rows, f"{scheme.name}-rows{level}")
+        opened = by_text(still, f"{scheme.name}-opened{level}")
+        rows = stored(base.join(opened, ["k1", "k2"]).select("k1", "k2", "text", "blocks").mapInArrow(_next_round(scheme, level), _ROW), f"{scheme.name}-rows{level}")
         let_go(rows.sparkSession)
-        done, still = _settle(lambda rows=rows: rows, scheme, level)
+        forget(opened)
+        done, still = _settle(rows, scheme, level)
         found.append(done)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    return by_text(every, f"{scheme.name}-repeated")
+    out = by_text(every, f"{scheme.name}-repeated")
+    forget(*found)
+    return out
 
 
 def covered(scheme: Scheme, lay: Layout, blocks: list) -> np.ndarray:
