@@ -45,6 +45,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[pii.count_of(spans, k).alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.spans_text(spans, tuple(pii.BASE)), 256).alias("base_sha256"),
         pii.spans_text(spans).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
