@@ -213,13 +213,13 @@ def display_source(status: Column | str) -> Column:
 
 
 def audit_name_key(col: Column | str) -> Column:
-    """Name without case, abbreviations, punctuation and double spaces."""
+    """Name in lower case with abbreviations written out, without punctuation and double spaces. Punctuation goes, it doesn't part words."""
     c = F.lower(_c(col))
     for short, full in S.ABBREVIATIONS.items():
         c = F.regexp_replace(c, rf"\b{short}\b", full)
     for short, full in S.SAINTS.items():
-        c = F.regexp_replace(c, rf"\b{short}\.", f"{full} ")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[.,()\-'\"/]", " "), r"\s+", " "))
+        c = F.regexp_replace(c, rf"\b{short}\.", full)
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\p{Punct}", ""), r"\s+", " "))
 
 
 def reliable(df: DataFrame) -> DataFrame:

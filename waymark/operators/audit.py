@@ -45,9 +45,20 @@ def prefixed_pairs(df: DataFrame, key: str = "site_id", name: str = "site_name")
 
 
 def near_duplicates(df: DataFrame, metres: float = 50, key: str = "site_id", name: str = "site_name") -> DataFrame:
-    """Pairs of sites of one name within some metres of each other."""
-    have = df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~is_blank(name)).select(key, name, "latitude", "longitude")
-    return near_pairs(have, have, metres / 1000).where((F.col(f"l_{key}") < F.col(f"r_{key}")) & (F.col(f"l_{name}") == F.col(f"r_{name}")))
+    """Pairs of sites of one name within some metres of each other. Sites meet by name and grid cell, so a point that many sites of other names share is no burden."""
+    have = _placed(df, name).select(key, name, "latitude", "longitude")
+    return near_pairs(have, have, metres / 1000, same=[name]).where(F.col(f"l_{key}") < F.col(f"r_{key}"))
+
+
+def near_duplicate_classes(df: DataFrame, metres: float = 50, name: str = "site_name") -> DataFrame:
+    """The same without a row for each pair of copies: for each name and point, n sites and near, how many other sites of the name lie within some metres. Sites at one point are one class from the start."""
+    classes = _placed(df, name).groupBy(name, "latitude", "longitude").agg(F.count("*").alias("n"))
+    pairs = near_pairs(classes, classes, metres / 1000, same=[name])  # each class meets itself too
+    return pairs.groupBy(F.col(f"l_{name}").alias(name), F.col("l_latitude").alias("latitude"), F.col("l_longitude").alias("longitude")).agg(F.max("l_n").alias("n"), (F.sum("r_n") - 1).alias("near"))
+
+
+def _placed(df: DataFrame, name: str) -> DataFrame:
+    return df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~is_blank(name))
 
 
 def compare_snapshots(before: DataFrame, after: DataFrame, column: str, key: str = "site_id") -> DataFrame:

@@ -68,14 +68,16 @@ def references(long: DataFrame, layer1: DataFrame) -> DataFrame:
     return _first_records(long, layer1.select(F.col("canonical_id").alias("site_id")).distinct(), "left_semi")
 
 
-def near_pairs(left: DataFrame, right: DataFrame, km: float = S.NEAR_KM, size: float = 0.001, lat_limit: float = S.LAT_MAX) -> DataFrame:
-    """Pairs of rows within km of each other, columns prefixed l_ and r_, with distance_km. The right side goes to the grid cells around it, and the join is on cells: no row meets rows that aren't near. Both sides lie within lat_limit of the equator."""
+def near_pairs(left: DataFrame, right: DataFrame, km: float = S.NEAR_KM, size: float = 0.001, lat_limit: float = S.LAT_MAX, same: Sequence[str] = ()) -> DataFrame:
+    """Pairs of rows within km of each other that agree in the columns of same, which join too; columns prefixed l_ and r_, with distance_km. The right side goes to the grid cells around it, and the join is on cells: no row meets rows that aren't near. Both sides lie within lat_limit of the equator."""
     reach_y, reach_x = max(1, -int(-(km / 111.19) // size)), longitude_reach(lat_limit, km, size)
     a = left.select(*[F.col(f"`{c}`").alias(f"l_{c}") for c in left.columns]).withColumns({"__cx": cell(F.col("l_longitude"), size), "__cy": cell(F.col("l_latitude"), size)})
     around = F.explode(F.flatten(F.transform(F.sequence(F.lit(-reach_x), F.lit(reach_x)), lambda dx: F.transform(F.sequence(F.lit(-reach_y), F.lit(reach_y)), lambda dy: F.struct((cell(F.col("r_longitude"), size) + dx).alias("x"), (cell(F.col("r_latitude"), size) + dy).alias("y"))))))
     b = right.select(*[F.col(f"`{c}`").alias(f"r_{c}") for c in right.columns]).withColumn("__cell", around).select("*", F.col("__cell.x").alias("__cx"), F.col("__cell.y").alias("__cy")).drop("__cell")
     d = haversine_km(F.col("l_latitude"), F.col("l_longitude"), F.col("r_latitude"), F.col("r_longitude"))
-    return a.join(b, ["__cx", "__cy"]).withColumn("distance_km", d).where(F.col("distance_km") <= km).drop("__cx", "__cy")
+    a, b = (x.withColumns({f"__s{i}": F.col(f"{side}_{c}") for i, c in enumerate(same)}) for x, side in ((a, "l"), (b, "r")))
+    keys = [f"__s{i}" for i in range(len(same))]
+    return a.join(b, ["__cx", "__cy", *keys]).drop(*keys).withColumn("distance_km", d).where(F.col("distance_km") <= km).drop("__cx", "__cy")
 
 
 def spatial_name_match(left: DataFrame, right: DataFrame, km: float = S.NEAR_KM, least: float = S.SIMILARITY, similarity=name_similarity) -> DataFrame:

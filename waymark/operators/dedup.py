@@ -30,6 +30,12 @@ def consolidate(df: DataFrame, key: str = "site_id", name: str = "site_name", or
     return _best(df, [*by, key], F.struct(*placed, is_blank(name), F.col(order)))
 
 
+def mark_merged(df: DataFrame, key: str = "site_id", name: str = "site_name", order: str = "_ord", by: Sequence[str] = ()) -> DataFrame:
+    """df with _merged, true for the rows that consolidate would drop; order doesn't repeat within a source."""
+    stays = consolidate(df, key, name, order, by).select(*by, key, F.col(order).alias("__stays"))
+    return df.join(stays, [*by, key], "left").withColumn("_merged", F.coalesce(F.col(order) != F.col("__stays"), F.lit(False))).select(*df.columns, "_merged")
+
+
 def merged_count(before: DataFrame, key: str = "site_id") -> DataFrame:
     """merged: rows beyond one per key."""
     return before.groupBy(key).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("merged"))

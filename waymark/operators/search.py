@@ -108,12 +108,16 @@ def source_distribution(df: DataFrame) -> DataFrame:
     return src.unionByName(st)
 
 
-def _order_statistic(df: DataFrame, group: Sequence[str], col: str, n: str, shares: Sequence[float]) -> DataFrame:
-    """For each group the values at index floor(n * share) in order. Values are counted first, so ties and hot groups shrink before they are ranked."""
-    counts = df.groupBy(*group, n, F.col(col).alias("v")).agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("upto", upto)
-    return ranked.groupBy(*group).agg(*[F.min(F.when(F.col("upto") > F.floor(F.col(n) * s), F.col("v"))).alias(f"{col}_q{i}") for i, s in enumerate(shares)])
+def _order_statistic(df: DataFrame, group: Sequence[str], col: str, n: str, shares: Sequence[float], span: float = 0.01) -> DataFrame:
+    """For each group the values at index floor(n * share) in order. Values are counted first; a window over the counts of spans (of `span`, so at most some ten thousand degrees' worth a group) finds the span of each index, and only that span's values are ranked."""
+    counts = df.groupBy(*group, n, F.col(col).alias("v")).agg(F.count("*").alias("c")).withColumn("s", F.floor(F.col("v") / span))
+    spans = counts.groupBy(*group, n, "s").agg(F.sum("c").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*group).orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col(n) * s).alias("at")) for i, s in enumerate(shares)])).alias("w")
+    holds = spans.withColumn("upto", upto).select(*group, "s", (F.col("upto") - F.col("c")).alias("before"), "upto", wanted).where("before <= w.at and w.at < upto")
+    inside = counts.join(holds.select(*group, "s", "before", "w.i", "w.at"), [*group, "s"])
+    ranked = inside.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy(*group, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    return ranked.where("to > at").groupBy(*group).agg(*[F.min(F.when(F.col("i") == i, F.col("v"))).alias(f"{col}_q{i}") for i in range(len(shares))])
 
 
 def robust_bounds(df: DataFrame, group: Sequence[str] = ("region",)) -> DataFrame:

@@ -50,8 +50,8 @@ PROVINCE_FIXES = {"MT. PROVINCE": "MOUNTAIN PROVINCE", "COTABATO": "NORTH COTABA
 OLD_REGIONS = {"negros occidental": "Region VI", "negros oriental": "Region VII", "siquijor": "Region VII"}
 UPPER_NAMES = ("NCR", "CAR", "BARMM", "NIR", "CARAGA", "MIMAROPA")
 STRANDS = {"abm": "ABM", "arts": "Arts and Design", "gas": "GAS", "humss": "HUMSS", "maritime": "Maritime", "sports": "Sports", "stem": "STEM", "tvl": "TVL", "unique": "Unique"}
-ABBREVIATIONS = {"nhs": "national high school", "shs": "senior high school", "es": "elementary school", "ps": "primary school", "is": "integrated school"}
-SAINTS = {"sta": "santa", "sto": "santo", "st": "saint"}
+ABBREVIATIONS = {"es": "elementary school", "ps": "primary school", "is": "integrated school", "nhs": "national high school", "shs": "senior high school"}
+SAINTS = {"st": "saint", "sta": "santa", "sto": "santo"}
 TRUST = {"monitoring_validated": "Highest", "osmapaaralan": "High", "nsbi_2324": "Moderate", "geolocation_deped": "Low", "tosf_self_reported": "Variable"}
 # End of fixed values.
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,9 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
 
 
-def with_order(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """_ord: position by the columns named, or else the place in the file, taken at the scan before any shuffle."""
-    return df.withColumn("_ord", F.row_number().over(Window.orderBy(*by)).cast("long") if by else F.monotonically_increasing_id())
+def with_order(df: DataFrame) -> DataFrame:
+    """_ord: the place in the file, taken at the scan before any shuffle."""
+    return df.withColumn("_ord", F.monotonically_increasing_id())
 
 
 def read_geojson(spark: SparkSession, path: str, id_prop: str = "ref", lines: bool = False) -> DataFrame:
@@ -95,8 +95,10 @@ def silver(df: DataFrame, name: str) -> DataFrame:
     """df written once in the folder that driver and executors share (spark.checkpoint.dir) and read again: for tables that several later steps read. The plan of what follows starts at a scan, and lost executors cost no recomputation."""
     spark = df.sparkSession
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if at is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # only where the cluster names none
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):  # a folder of one machine is no use to others
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         at = spark.sparkContext.getCheckpointDir()
     path = f"{at.rstrip('/')}/waymark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

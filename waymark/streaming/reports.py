@@ -1,5 +1,6 @@
 """Reports that keep arriving: the first of each key counts, as in the batch operator keep_first."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,14 +17,21 @@ def first_report_stream(reports: DataFrame, key: str, time: str, delay: str = "1
     return reports.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def earliest_report_table(reports: DataFrame, key: str, time: str, table: str, checkpoint: str) -> StreamingQuery:
-    """A table with the earliest report of each key over all time, kept by batches: each one's earliest reports meet the stored ones by key. Versions are whole directories, the latest named last, so that a failed batch leaves the one before."""
+def earliest_report_table(reports: DataFrame, key: str, time: str, table: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """A table with the earliest report of each key over all time, in buckets by key. A batch reads and replaces only the buckets that its keys fall into; merging a batch again changes nothing, so one that failed half-way is simply repeated."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        batch = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        try:
+            stored = spark.read.schema(batch.schema).parquet(table).where(F.col("bucket").isin(touched))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            stored = batch.limit(0)
         row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
-        if number:
-            batch = batch.unionByName(spark.read.parquet(f"{table}/v={number - 1}"))
-        batch.groupBy(F.col(key).alias("__k")).agg(F.min_by(row, F.col(time)).alias("r")).select("r.*").write.mode("overwrite").parquet(f"{table}/v={number}")
+        merged = stored.unionByName(batch).groupBy(F.col(key).alias("__k")).agg(F.min_by(row, F.col(time)).alias("r")).select("r.*")
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
 
     return reports.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
