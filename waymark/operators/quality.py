@@ -104,7 +104,7 @@ def validate_codes(df: DataFrame, claimed: str = "claimed_code", observed: str =
 
 
 def bounds_status(lat: Column, lon: Column) -> Column:
-    """valid or out_of_bounds; missing coordinates stay valid."""
+    """valid, or out_of_bounds if a coordinate is; a missing one is not."""
     out = F.coalesce(~(lat.between(S.LAT_MIN, S.LAT_MAX) & lon.between(S.LON_MIN, S.LON_MAX)), F.lit(False))
     return F.when(out, F.lit("out_of_bounds")).otherwise(F.lit("valid"))
 

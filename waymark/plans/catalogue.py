@@ -553,3 +553,6 @@ def lookup_join_aggregate(spark, d):
     o = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
     rows = A.table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount").join(o, "l_orderkey")
     return rows.groupBy(F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("mean_price"))
+
+
+from waymark.plans import details  # noqa: E402, F401  registers its queries, with what is defined above
