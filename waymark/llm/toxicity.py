@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,12 +140,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_feature
                 lists = [pa.ListArray.from_arrays(cut, pa.array(x.astype(np.int32))) for x in (col, count)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(2).slice(lo, n), *lists], names=["doc_id", "toxic", "col", "count"])
 
-    found = train.select(F.col("doc_id").cast("string"), "text", F.col("toxic").cast("int")).mapInArrow(rows, "doc_id string, toxic int, col array<int>, count array<int>").toPandas().sort_values("doc_id", kind="stable")
-    per = found["col"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(found)), per)
-    col = np.concatenate([*found["col"], np.zeros(0, int)]).astype(int)
-    count = np.concatenate([*found["count"], np.zeros(0, int)])
-    grade = _grades(found["toxic"].to_numpy() > 0, row, count * (odds[col] > 2))
+    found = train.select(F.col("doc_id").cast("string"), "text", F.col("toxic").cast("int")).mapInArrow(rows, "doc_id string, toxic int, col array<int>, count array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    per, col, count = (f(found.column(c).chunk(0)).to_numpy() for f, c in ((pc.list_value_length, "col"), (pc.list_flatten, "col"), (pc.list_flatten, "count")))
+    row, toxic = np.repeat(np.arange(len(found)), per), found.column("toxic").to_numpy() > 0
+    grade = _grades(toxic, row, count * (odds[col] > 2))
     weights, thresholds = fit_cumulative(row, col, np.log1p(count), grade, len(names))
     return Model(names, weights, thresholds)
 
