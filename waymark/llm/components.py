@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import let_go, stored
+from waymark.llm.common import forget, let_go, stored
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -15,11 +15,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     while True:
         k += 1
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m"))
+        # stored, so that the join reads exchanges of its own and Spark can split a node of very many links
+        least = stored(both.groupBy("v").agg(F.min("u").alias("m")).withColumn("m", F.least("v", "m")), f"{name}-least{k}")
         large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        large = stored(large, f"{name}-large{k}")
+        low = stored(large.groupBy("v").agg(F.min("u").alias("m")), f"{name}-low{k}")
         small = large.join(low, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(low.withColumnRenamed("m", "u")).distinct()
-        edges = stored(small, f"{name}-{k}")
+        last, edges = edges, stored(small, f"{name}-{k}")
+        forget(last, least, large, low)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
         let_go(edges.sparkSession)
         if now == before:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from waymark.llm.common import LOWER, Words, let_go, mix, slices, stored
+from waymark.llm.common import LOWER, Words, forget, let_go, mix, slices, stored
 from waymark.llm.components import components
 from waymark.llm.repeats import keyed
 
@@ -396,13 +396,13 @@ def _least_count(counts: DataFrame, heavy: int) -> int:
     return least
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 400_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 50_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links), and, unless links is false, n_links (the other rows that the row links with). work: sets times shingles that one task compares."""
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
     fields = StructType.fromDDL("k1 long, k2 int, doc_id int, node long, second long, n long, sketch binary").fields
     fields[2] = base.schema["doc_id"]
-    sets = stored(base.mapInArrow(_sets(shingle), StructType(fields)), "jaccard-sets")
+    sets = every = stored(base.mapInArrow(_sets(shingle), StructType(fields)), "jaccard-sets")
     # names of two sets that are one by chance: at 10^10 sets 3 are expected
     clashes = sets.groupBy("node").agg(F.min("second").alias("a"), F.max("second").alias("z")).where("a <> z").select("node").toPandas()["node"].to_numpy(np.int64)
     sets = sets.withColumn("node", F.when(F.col("node").isin(clashes.tolist()), F.col("second")).otherwise(F.col("node"))) if len(clashes) else sets
@@ -422,7 +422,9 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     near = small.mapInArrow(_compatible(least), "a long, b long").unionByName(shared_cells.join(hot, "landmark").where("node <> a").select("a", F.col("node").alias("b")))
     near = stored(near.distinct(), "jaccard-near")
     let_go(spark)
+    forget(counts, cells, shared_cells)
     regions = stored(components(near, "jaccard-regions"), "jaccard-regions")
+    forget(near)
     let_go(spark)
     one = sets.groupBy("node").agg(F.min(F.struct("k1", "k2", "n")).alias("one"), F.count("*").alias("copies"))
     members = regions.join(one, "node").select("one.k1", "one.k2", "node", "one.n", F.col("root").alias("region"), "copies")
@@ -451,7 +453,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
         total = linked.select(F.col("a").alias("node"), "links").unionByName(copied).groupBy("node").agg(F.sum("links").alias("n_links"))
         found = total.join(found, "node", "full")
     rooted = stored(sets.drop("sketch").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-rooted")
-    first = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("first"))
+    forget(every, regions, linked)
+    first = stored(rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("first")), "jaccard-first")
     # sets without shingles stay apart, whatever their number
     more = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if links else []
     return rooted.join(first, "root", "left").select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), "node", "root", F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"), *more)
