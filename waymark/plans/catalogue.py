@@ -523,12 +523,15 @@ def codes(spark, d):
     return A.site(spark, d).select("site_id", F.substring("claimed_adm3_10", 1, 7).alias("claimed_adm3"), F.col("site_name").alias("code_name"))
 
 
-@register()
-def pipeline_multi_source(spark, d):
+def located_observations(spark, d):
     have = (F.col("_ord") + F.col("priority")) % 4 != 0
     places = A.published(spark, d).select("_ord", *S.LOCATION_COLS)
-    long = clean(spark, d).join(places, "_ord").withColumns({c: F.when(have, F.col(c)) for c in S.LOCATION_COLS})
-    return pipelines.multi_source(silver(long, "located"), A.mapping(spark, d), silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+    return clean(spark, d).join(places, "_ord").withColumns({c: F.when(have, F.col(c)) for c in S.LOCATION_COLS})
+
+
+@register()
+def pipeline_multi_source(spark, d):
+    return pipelines.multi_source(silver(located_observations(spark, d), "located"), A.mapping(spark, d), silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
 
 
 @register()
@@ -538,13 +541,24 @@ def pipeline_self_reported(spark, d):
     return pipelines.self_reported(u, o, silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
 
 
-@register()
+@register(""", c AS (SELECT *, row_number() OVER (PARTITION BY site_name, latitude, longitude ORDER BY _ord) AS rn, CASE WHEN _ord % 9 <> 0 THEN 'C' || (_ord // 7) END AS code FROM published),
+m AS (SELECT *, code IS NOT NULL AND count(*) OVER (PARTITION BY code) > 1 AS is_multi FROM c WHERE rn = 1),
+h AS (SELECT * FROM (SELECT m._ord, adm3, adm4, row_number() OVER (PARTITION BY m._ord ORDER BY polygon_ord) AS rk FROM m JOIN poly ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y0 + 2 AND CASE WHEN tri = 0 THEN latitude - y0 < 2 * (longitude - x0) ELSE latitude - y0 > 2 * (longitude - x0) END) WHERE rk = 1)
+SELECT coalesce(code, '-') AS code, site_name AS name, region, coalesce(CASE WHEN _ord % 5 <> 0 THEN province END, 'Province ' || substr(adm3, 1, 5), '-') AS province, municipality AS city_municipality, round(coalesce(latitude, -1), 6) AS latitude, round(coalesce(longitude, -1), 6) AS longitude,
+  'valid' AS coord_status, code IS NULL AS code_missing, is_multi, coalesce(adm3, '-') AS observed_adm3, coalesce(adm4, '-') AS observed_adm4 FROM m LEFT JOIN h USING (_ord)""", "published", "poly")
 def pipeline_institutions(spark, d):
-    """Two programmes of each published site, a code to seven sites or fewer."""
+    out = pipelines.institutions(*institution_tables(spark, d))
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    places = [F.round(F.coalesce(c, F.lit(-1.0)), 6).alias(c) for c in ("latitude", "longitude")]
+    return out.select(dash("code"), "name", "region", dash("province"), "city_municipality", *places, "coord_status", "code_missing", "is_multi", dash("observed_adm3"), dash("observed_adm4"))
+
+
+def institution_tables(spark, d):
+    """Two programmes of each published site, a code to seven sites or fewer, and the layer."""
     p, m = A.published(spark, d), F.col("_ord")
     programs = p.select(F.explode(F.array(2 * m, 2 * m + 1)).alias("_ord"), F.when(m % 9 != 0, F.concat(F.lit("C"), F.floor(m / 7).cast("string"))).alias("code"), F.col("site_name").alias("name"), "region", F.when(m % 5 != 0, F.col("province")).alias("province"), F.col("municipality").alias("city_municipality"), "latitude", "longitude")
     layer = A.poly(spark, d).withColumns({"adm2": F.substring("adm3", 1, 5), "adm2_name": F.concat(F.lit("Province "), F.substring("adm3", 1, 5))})
-    return pipelines.institutions(programs, layer)
+    return programs, layer
 
 
 @register("""SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS kind, count(*) AS n, round(avg(l_extendedprice * (1 - l_discount)), 2) AS mean_price FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
