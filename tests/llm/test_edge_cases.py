@@ -1,9 +1,13 @@
 """Legal input that is easy to trip over: header names that differ in case, odd column names, ties, repeated rows, very long texts."""
 
+import re
+
+import public_tokenizers as P
+import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.test_text_operators import ODD, frame
-from waymark.llm import cascade, decontaminate, pii, revisit, toxicity
+from waymark.llm import bucket_refine, cascade, decontaminate, jaccard, monoid_bpe, pii, recompression, revisit, toxicity
 
 RECORD = "record_id long, url string, ts long, is_revisit boolean, etag string, last_modified string, headers map<string,string>, payload_digest string, chunk string, found string"
 
@@ -70,3 +74,31 @@ def test_toxicity_trains_on_one_row_of_an_id(spark):
     assert out.count() == 70 and out.where("toxic").count() == 20
     long = spark.createDataFrame([(0, "fine day " * 300_000), (1, "fine day " * 300_000 + "vile scum")], "doc_id long, text string")
     assert {r["doc_id"]: r["toxic"] for r in toxicity.score(long, toxicity.fit(docs.limit(40), labels)).collect()}[0] is False
+
+
+def test_very_long_texts(spark):
+    """Texts of over a million bytes: a passage at the end of one that another holds, and near copies."""
+    words = [f"w{i * 7919 % 100_003}" for i in range(180_000)]
+    passage = " ".join(f"p{i}" for i in range(90))
+    long = " ".join(words) + " " + passage
+    docs = frame(spark, [long, f"short start {passage} and end", long.replace("w7919 ", "other ", 1)])
+    got = {r["doc_id"]: r["n_removed"] for r in recompression.remove_repeats(docs.where("doc_id < 2"), outputs=("n_removed",)).collect()}
+    assert got == {0: 90, 1: 90}
+    shared = len(f" {passage}")
+    got = {r["doc_id"]: r["n_removed"] for r in bucket_refine.remove_repeats(docs.where("doc_id < 2"), outputs=("n_removed",)).collect()}
+    assert got == {0: shared, 1: shared}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 0}
+    bpe = monoid_bpe.load(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    one = monoid_bpe.encode_documents(docs.where("doc_id = 0"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, outputs=("ids", "text")).first()
+    assert one["ids"] == library.encode_ordinary(long) and one["text"] == long
+
+
+def test_every_planted_form_is_found(spark):
+    """Documents of the smallest table that hold a plain address, number or secret, by patterns of the test's own, have a span."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null")
+    forms = re.compile(r"[\w.]+@mail\d+\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b(?:token|password|secret|api_key) = \"[^\"]+\"|(?<![\d.])\d{2,3}\.\d{2,3}\.\d{2,3}\.\d{2,3}(?![\d.])")
+    held = {r["doc_id"] for r in docs.collect() if forms.search(r["text"])}
+    found = {r["doc_id"] for r in pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id").collect()}
+    assert len(held) > 20 and len(held & found) >= 0.95 * len(held)

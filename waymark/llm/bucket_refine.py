@@ -27,7 +27,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from waymark.llm.common import BYTE_VALUES, Names, PrimeNames, pair
+from waymark.llm.common import BYTE_VALUES, Names, PrimeNames, forget, pair, stored
 from waymark.llm.repeats import Layout, Scheme, covered, finish, keyed, repeated_blocks
 
 
@@ -71,29 +71,46 @@ def scheme(window: int = 400, q: int = 128, block: int = 17) -> Scheme:
         lo = hi - np.array([len(r) for r in raw], np.int64)
         i = np.arange(len(buf))
         priority = Names(BYTE_VALUES[buf]).of(i, np.minimum(i + q, len(buf)))
-        return Layout(lo, hi, Buckets(buf, q).of, priority)
+        made: list[Buckets] = []
 
-    return Scheme("buckets", window, 0, window - q + 1, (block, 1), lay_out)
+        def names(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if not made:  # only rounds need identifiers, the last pass over the texts doesn't
+                made.append(Buckets(buf, q))
+            return made[0].of(start, stop)
 
+        return Layout(lo, hi, names, priority)
 
-def remove_repeats(docs: DataFrame, window: int = 400, outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "spans", "kept"), id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:
-    """doc_id and the outputs asked for: n_bytes, n_removed, n_spans, spans (start and stop of the maximal removed runs), kept (the bytes left) or kept_sha256, the digest of that."""
+    return Scheme(f"buckets{window}", window, 0, window - q + 1, (block, 1), lay_out)
+
+
+def remove_repeats(docs: DataFrame, window: int = 400, outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "spans", "kept"), id_col: str = "doc_id", text_col: str = "text", report: int | None = None, **sizes: int) -> DataFrame:
+    """doc_id and the outputs asked for: n_bytes, n_removed, n_spans, spans (start and stop of the maximal removed runs), kept (the bytes left) or kept_sha256, the digest of that. With report, a length below the window, n_reported: the bytes inside strings of that length that start anywhere else too. They are told, not removed.
+
+    What repeats over a window repeats over the shorter length too, so with report only texts that have a shorter repeat are searched for windows."""
     s, base = scheme(window, **sizes), keyed(docs, id_col, text_col)
-    kinds = {"n_bytes": "n_bytes long", "n_removed": "n_removed long", "n_spans": "n_spans long", "spans": "spans array<struct<start:long,stop:long>>", "kept": "kept binary", "kept_sha256": "kept_sha256 string"}
+    if report is None:
+        short, blocks = None, [repeated_blocks(base, s)]
+    else:
+        short = scheme(report, q=min(64, report - 1))
+        reported = repeated_blocks(base, short)
+        some = stored(base.join(reported.select("k1", "k2"), ["k1", "k2"], "left_semi"), "buckets-some")
+        blocks = [repeated_blocks(some, s), reported]
+        forget(some)
+    kinds = {"n_bytes": "n_bytes long", "n_removed": "n_removed long", "n_spans": "n_spans long", "spans": "spans array<struct<start:long,stop:long>>", "kept": "kept binary", "kept_sha256": "kept_sha256 string", "n_reported": "n_reported long"}
 
     def make():
-        def run(batch: list, blocks: list) -> list:
+        def run(batch: list, *blocks: list) -> list:
             raw = [t.encode() if t else b"" for t in batch]
             cut = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-            gone = covered(s, s.lay_out(batch), blocks) if any(blocks) else np.zeros(cut[-1], bool)
+            inside = [covered(x, x.lay_out(batch), own) if any(own) else np.zeros(cut[-1], bool) for x, own in zip((s, short), blocks, strict=False)]
             out = {k: [] for k in outputs}
             for d, text in enumerate(raw):
-                own = gone[cut[d] : cut[d + 1]]
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
+                gone = inside[0][cut[d] : cut[d + 1]]
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 spans = list(zip(edges[0::2].tolist(), edges[1::2].tolist(), strict=True))
                 kept = text if not spans else b"".join(text[a:b] for a, b in zip([0, *[y for _, y in spans]], [*[x for x, _ in spans], len(text)], strict=True))
                 made = {
-                    "n_bytes": lambda: len(text), "n_removed": lambda: len(text) - len(kept), "n_spans": lambda: len(spans),
+                    "n_bytes": lambda: len(text), "n_removed": lambda: len(text) - len(kept), "n_spans": lambda: len(spans), "n_reported": lambda: int(inside[1][cut[d] : cut[d + 1]].sum()),
                     "spans": lambda: [{"start": a, "stop": b} for a, b in spans], "kept": lambda: kept, "kept_sha256": lambda: hashlib.sha256(kept).hexdigest(),
                 }
                 for k, v in out.items():
@@ -102,4 +119,4 @@ def remove_repeats(docs: DataFrame, window: int = 400, outputs: tuple[str, ...]
 
         return run
 
-    return finish(base, repeated_blocks(base, s), make, ", ".join(kinds[k] for k in outputs))
+    return finish(base, blocks, make, ", ".join(kinds[k] for k in outputs))

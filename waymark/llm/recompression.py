@@ -156,4 +156,4 @@ def remove_repeats(docs: DataFrame, window: int = 35, outputs: tuple[str, ...] =
 
         return run
 
-    return finish(base, repeated_blocks(base, s), make, ", ".join(kinds[k] for k in outputs))
+    return finish(base, [repeated_blocks(base, s)], make, ", ".join(kinds[k] for k in outputs))

@@ -220,21 +220,25 @@ def covered(scheme: Scheme, lay: Layout, blocks: list) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def finish(docs: DataFrame, blocks: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
-    """doc_id and what make()'s function makes of (texts, their blocks), for every row of docs, null texts included."""
+def finish(docs: DataFrame, blocks: list[DataFrame], make: Callable[[], Callable], schema: str) -> DataFrame:
+    """doc_id and what make()'s function makes of (texts, their blocks in each table of blocks), for every row of docs, null texts included. The tables of blocks meet before the texts do, so texts travel once."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
     made_schema = StructType.fromDDL(schema)
     types = [to_arrow_type(f.dataType) for f in made_schema]
     names = ["doc_id", *made_schema.names]
-    joined = docs.join(blocks, ["k1", "k2"], "left").select("doc_id", "text", "blocks")
+    numbered = [b.withColumnRenamed("blocks", f"blocks{i}") for i, b in enumerate(blocks)]
+    every = numbered[0]
+    for more in numbered[1:]:
+        every = every.join(more, ["k1", "k2"], "full")
+    joined = docs.join(every, ["k1", "k2"], "left").select("doc_id", "text", *[f"blocks{i}" for i in range(len(blocks))])
 
     def run(batches):
         made = make()
         for batch in batches:
             for lo, n in slices(batch.column(1)):
-                out = made(batch.column(1).slice(lo, n).to_pylist(), batch.column(2).slice(lo, n).to_pylist())
+                out = made(*[c.slice(lo, n).to_pylist() for c in batch.columns[1:]])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), *[pa.array(v, t) for v, t in zip(out, types, strict=True)]], names=names)
 
     return joined.mapInArrow(run, StructType([joined.schema["doc_id"], *made_schema.fields]))
