@@ -40,3 +40,34 @@ def test_join_region_counts_every_link():
     near = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
     assert links.tolist() == [sum(copies[j] for j in range(40) if j != i and near(set(sets[i]), set(sets[j]))) for i in range(40)]
     assert links.sum() > 2 * 39
+
+
+def test_pivots_cut_a_region_and_lose_no_link():
+    """Four clusters and what lies between two of them: cells are smaller than the region, and each link has one home."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    base = [rng.integers(-(1 << 62), 1 << 62, 400) for _ in range(4)]
+    for i in range(1, 4):
+        base[i][: 100 * i] = base[0][: 100 * i]
+
+    def near(b, change):
+        s = b.copy()
+        i = rng.random(len(s)) < change
+        s[i] = rng.integers(-(1 << 62), 1 << 62, i.sum())
+        return s
+
+    sets = [near(base[i % 4], 0.02) for i in range(240)] + [np.where(np.arange(400) < k, base[0], base[1]) for k in range(200, 400, 10)]
+    sets = [np.array(sorted(s, key=lambda x: int(np.int64(x).view(np.uint64)))) for s in sets]  # as sets come: in the order of unsigned names
+    m = len(sets)
+    table = pa.table({"region": pa.array(np.ones(m, np.int64)), "node": pa.array(np.arange(m)), "n": pa.array([len(s) for s in sets]), "shingles": pa.array([s.tolist() for s in sets], pa.list_(pa.int64())), "copies": pa.array(np.ones(m, np.int64)), "home": pa.array([True] * m), "side": pa.array(np.full(m, -1)), "pile": pa.array(np.zeros(m, np.int64))})
+    leads = table.slice(0, 32).append_column("leads", pa.array([True] * 32))
+    rows = pa.concat_tables([leads, table.append_column("leads", pa.array([False] * m))]).combine_chunks()
+    out = pa.Table.from_batches(jaccard._to_pivots(90)(iter(rows.to_batches(max_chunksize=50)))).to_pandas()
+    assert set(out["side"]) == {-1} and out["region"].nunique() > 2 and out.groupby("region").size().max() < 0.6 * m
+    where = {n: set(g) for n, g in out.groupby("node")["region"]}
+    home = {n: r for n, r, h in zip(out["node"], out["region"], out["home"], strict=True) if h}
+    assert len(home) == m and out["home"].sum() == m
+    as_sets = [set(s.tolist()) for s in sets]
+    linked = [(i, j) for i in range(m) for j in range(i) if 100 * len(as_sets[i] & as_sets[j]) >= 90 * len(as_sets[i] | as_sets[j])]
+    assert len(linked) > 1000 and all(home[i] in where[j] and home[j] in where[i] for i, j in linked)

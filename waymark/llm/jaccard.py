@@ -11,7 +11,7 @@ a threshold, here written as least / 100. Documents of equal sets are one node f
    components): a set lies in one region only, and regions are closed under linking.
 2. Voronoi regions. A region too large for one task is cut: a few of its sets are pivots, and every set goes to the region of its
    nearest pivot, and by the triangle inequality also to that of every pivot at most twice the threshold distance further away, where
-   a linked set could have gone. This recurs; a region that pivots don't cut (they are within that distance of each other themselves)
+   a linked set could have gone. This recurs; a region in which that wouldn't halve the work (its sets are about equally far from one another)
    is cut into blocks of which every two meet in a task.
 3. Inside a task, sets are compared exactly. Each set is a pivot in its turn: its distances to all others are one vector
    operation; others of unsuitable size, or outside the window |d(p,x) - d(p,y)| <= threshold of an earlier pivot p, need no
@@ -290,7 +290,7 @@ MEMBER = {"region": pa.int64(), "node": pa.int64(), "n": pa.int64(), "shingles":
 
 
 def _to_pivots(least: int):
-    """Of rows sorted by region and pile, each pile led by the pivots of its region: members of the pivots' cells. Pivots that don't part even one another leave their region as it is, with side STUCK."""
+    """Of rows sorted by region and pile, each pile led by the candidates for pivots of its region: members of the pivots' cells. A region that no pivots halve the work of stays as it is, with side STUCK."""
     reach = 2 * (1 - least / 100) + 1e-9
 
     def distances(values: np.ndarray, cut: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -298,15 +298,27 @@ def _to_pivots(least: int):
         inner = np.add.reduceat((p[at] == values).astype(np.int64), cut[:-1])
         return 1 - inner / (np.diff(cut) + len(p) - inner)
 
-    def cells(table: pa.Table, pivots: list[tuple[int, np.ndarray]]) -> pa.Table:
+    def chosen_pivots(candidates: list[tuple[int, np.ndarray]]) -> list[int]:
+        """Candidates that are further from each other than twice the window. None, if cells of these, judged by where the candidates would go, are more than half the work of the region."""
+        own = np.concatenate([p for _, p in candidates])
+        ends = np.concatenate([[0], np.cumsum([len(p) for _, p in candidates])])
+        apart = np.array([distances(own, ends, p) for _, p in candidates])
+        kept: list[int] = []
+        for i in np.argsort([node for node, _ in candidates], kind="stable").tolist():
+            if (apart[i, kept] > 2 * reach).all():
+                kept.append(i)
+        np.fill_diagonal(apart, np.inf)  # a pivot is judged by the cells of the others, as a set that is none would be
+        goes = apart[kept] <= apart[kept].min(0) + reach
+        return kept if (goes.mean(1) ** 2).sum() <= 0.5 else []
+
+    def cells(table: pa.Table, candidates: list[tuple[int, np.ndarray]]) -> pa.Table:
         column = table.column("shingles").combine_chunks()
         cut = column.offsets.to_numpy()
         values, cut = column.flatten().to_numpy(), cut - cut[0]
-        own = np.concatenate([p for _, p in pivots])
-        ends = np.concatenate([[0], np.cumsum([len(p) for _, p in pivots])])
-        apart = np.array([distances(own, ends, p) for _, p in pivots])
-        if 2 * (apart <= reach).sum() > len(pivots) ** 2:
+        chosen = chosen_pivots(candidates)
+        if not chosen:
             return table.set_column(table.schema.get_field_index("side"), "side", pa.array(np.full(len(table), STUCK)))
+        pivots = [candidates[i] for i in chosen]
         d = np.array([distances(values, cut, p) for _, p in pivots])
         nodes = np.array([node for node, _ in pivots])
         pivot, row = np.nonzero(d <= d.min(0) + reach)
@@ -326,8 +338,8 @@ def _to_pivots(least: int):
                 if pile != (here := tuple(mark[:, lo].tolist())):
                     pile, pivots = here, []
                 leads = part.column("leads").to_numpy(zero_copy_only=False)
-                k = int(leads.sum())  # pivots come first
-                pivots += [(node, np.array(p)) for node, p in zip(part.column("node").slice(0, k).to_pylist(), part.column("shingles").slice(0, k).to_pylist(), strict=True)]
+                k = int(leads.sum())  # candidates come first
+                pivots += [(node, np.sort(np.array(p, np.int64))) for node, p in zip(part.column("node").slice(0, k).to_pylist(), part.column("shingles").slice(0, k).to_pylist(), strict=True)]
                 if k < len(part):
                     yield from cells(part.slice(k).select(list(MEMBER)), pivots).to_batches()
 
@@ -349,7 +361,7 @@ def _too_large(members: DataFrame, work: int) -> DataFrame:
     return size.withColumn("over", over).where("over > 1 and m > 1")
 
 
-def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivots: int = 8) -> DataFrame:
+def cut_regions(members: DataFrame, least: int, work: int, rounds: int = 3, pivots: int = 16) -> DataFrame:
     """members (columns MEMBER) with regions cut so that sets times shingles of each is at most work: by pivots, then into blocks. A large region is dealt over piles, to each of which its pivots go, so no task holds a region."""
     done, blocked = [], []
     for k in range(rounds + 1):
