@@ -174,6 +174,26 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
 }
 
+
+def _spans_sql(name: str, size: int) -> str:
+    """Maximal runs of bytes inside strings of this many bytes that start twice or more, as common table expressions: {name}(doc_id, a, b). Texts are hexadecimal, two digits a byte."""
+    return f"""{name}_w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * size})) AS s FROM d, unnest(range(0, length(h) // 2 - {size - 1})) t(i)),
+{name}_twice AS (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -{size + 1}) AS before FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM {name}_w) WHERE n > 1),
+{name} AS (SELECT doc_id, min(i) AS a, max(i) + {size} AS b FROM (SELECT *, count(*) FILTER (WHERE i > before + {size}) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM {name}_twice) GROUP BY doc_id, k)"""
+
+
+ORACLES["op6_bucket_refinement"] = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+{_spans_sql("span", 400)},
+{_spans_sql("short", 200)},
+piece AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM span),
+gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head, max(b) AS rest FROM piece JOIN d USING (doc_id) GROUP BY doc_id),
+told AS (SELECT doc_id, sum(b - a) AS n FROM short GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * rest + 1) END)) AS kept_sha256, CAST(coalesce(n, 0) AS BIGINT) AS n_reported
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN told USING (doc_id)
+"""
+
 _LAST = "SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles,"
 ORACLES["op3_jaccard_join"] = ORACLES["op3_jaccard_join"].replace(_LAST, _LAST + " (SELECT count(*) FROM both_ways WHERE x = d.doc_id) AS n_links,")
 _FIVE = {"len(w) < 3": "len(w) < 5", "w[i : i + 2]": "w[i : i + 4]", "len(w) - 1)": "len(w) - 3)", ">= 90 *": ">= 80 *"}
