@@ -534,11 +534,42 @@ def pipeline_multi_source(spark, d):
     return pipelines.multi_source(silver(located_observations(spark, d), "located"), A.mapping(spark, d), silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
 
 
-@register()
+#: What enrolment() gives, e.
+_ENROLLED = """, e0 AS (SELECT p._ord, p.site_id, p.site_name, s.sector, p.region, p.province, p.municipality, p.barangay FROM published p JOIN site s USING (_ord) WHERE p._ord % 10 <> 7
+  UNION ALL SELECT p._ord + 1099511627776, CAST(500000 + p._ord AS VARCHAR), p.site_name, p.sector, p.region, p.province, p.municipality, p.barangay FROM published p JOIN supplier ON s_suppkey = p._ord),
+e AS (SELECT * REPLACE (CASE WHEN _ord % 31 <> 0 THEN site_name END AS site_name), 'Old ' || region AS old_region, CASE WHEN _ord % 6 <> 0 THEN 'managed' END AS school_management, CAST(_ord % 2 AS INTEGER) AS offers_es FROM e0)
+"""
+_SELF = f""", u AS (SELECT site_id, site_name, region, municipality, sector FROM published),
+x AS (SELECT o.site_id, u.municipality, {_SWAPPED} AS sw, CASE WHEN {_SWAPPED} THEN longitude ELSE latitude END AS latitude, CASE WHEN {_SWAPPED} THEN latitude ELSE longitude END AS longitude FROM obs o LEFT JOIN u USING (site_id) WHERE source = 'nsbi_2324'),
+z AS (SELECT *, CASE WHEN latitude = 0 OR longitude = 0 OR abs(latitude) > 90 OR abs(longitude) > 180 THEN 'invalid' WHEN NOT ({_BOX_OK}) THEN 'out_of_bounds' END AS reason FROM x),
+t AS (SELECT *, coalesce({_PLACE}, false) AS ph FROM z WHERE reason IS NULL),
+cl AS (SELECT round_even(latitude, 5) AS a, round_even(longitude, 5) AS b FROM t WHERE NOT ph GROUP BY 1, 2 HAVING count(*) >= 3 AND count(DISTINCT lower(municipality)) > 1),
+f AS (SELECT t.*, CASE WHEN ph THEN 'placeholder_default' WHEN cl.a IS NOT NULL THEN 'coordinate_cluster' WHEN {_DEC.format(c="latitude")} < 3 AND {_DEC.format(c="longitude")} < 3 THEN 'round_coordinates' END AS flag FROM t LEFT JOIN cl ON round_even(latitude, 5) = a AND round_even(longitude, 5) = b),
+seen AS (SELECT site_id, NULL AS latitude, NULL AS longitude, 'no_coords' AS st, reason FROM z WHERE reason IS NOT NULL UNION ALL SELECT site_id, latitude, longitude, CASE WHEN flag IS NOT NULL THEN 'suspect' WHEN sw THEN 'fixed_swap' ELSE 'valid' END, flag FROM f),
+s0 AS (SELECT u.*, latitude, longitude, coalesce(st, 'no_coords') AS st, CASE WHEN seen.site_id IS NULL THEN 'no_submission' ELSE reason END AS reason, false AS from_enrollment FROM u LEFT JOIN seen USING (site_id)
+  UNION ALL SELECT site_id, site_name, region, municipality, sector, NULL, NULL, 'no_coords', 'not_in_lis', true FROM e WHERE sector = 'private' AND site_id NOT IN (SELECT site_id FROM u)),
+s1 AS (SELECT s0.* REPLACE (coalesce(s0.site_name, site.site_name) AS site_name), substr(claimed_adm3_10, 1, 7) AS claimed, CASE WHEN from_enrollment OR site_id IN (SELECT site_id FROM e WHERE sector = 'private') THEN 'active' ELSE 'no_enrollment_reported' END AS enrollment_status FROM s0 LEFT JOIN site USING (site_id)),
+h AS (SELECT site_id, adm3, adm4, row_number() OVER (PARTITION BY site_id ORDER BY CASE WHEN adm3 = claimed THEN 0 ELSE 1 END, polygon_ord) AS rn FROM s1 JOIN poly ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y0 + 2 AND CASE WHEN tri = 0 THEN latitude - y0 < 2 * (longitude - x0) ELSE latitude - y0 > 2 * (longitude - x0) END),
+unit AS (SELECT DISTINCT adm3, x0, x1, y0, y0 + 2 AS y1 FROM poly),
+near AS (SELECT site_id FROM s1 JOIN unit ON adm3 = claimed WHERE latitude IS NOT NULL AND sqrt(pow(greatest(x0 - longitude, 0, longitude - x1), 2) + pow(greatest(y0 - latitude, 0, latitude - y1), 2)) < 0.002),
+s2 AS (SELECT s1.*, adm3, adm4, CASE WHEN st IN ('valid', 'fixed_swap') AND adm3 IS NULL THEN 'outside_all_polygons' WHEN st IN ('valid', 'fixed_swap') AND claimed <> adm3 AND site_id NOT IN (SELECT site_id FROM near) THEN 'wrong_municipality' END AS flag FROM s1 LEFT JOIN (SELECT * FROM h WHERE rn = 1) USING (site_id)),
+s3 AS (SELECT * REPLACE (CASE WHEN flag IS NULL THEN st ELSE 'suspect' END AS st, coalesce(flag, reason) AS reason) FROM s2),
+meta AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY _ord) AS rn FROM e WHERE upper(sector) <> 'PSO') WHERE rn = 1)
+SELECT site_id, coalesce(s3.site_name, m.site_name, '-') AS site_name, s3.sector, coalesce(m.region, s3.region) AS region, coalesce(s3.region, m.old_region) AS old_region, s3.municipality, round(coalesce(latitude, -1), 6) AS latitude, round(coalesce(longitude, -1), 6) AS longitude,
+  st AS coord_status, coalesce(reason, '-') AS coord_rejection_reason, from_enrollment, enrollment_status, coalesce(claimed, '-') AS claimed_adm3, coalesce(adm3, '-') AS observed_adm3, coalesce(adm4, '-') AS observed_adm4,
+  CASE WHEN st NOT IN ('valid', 'fixed_swap') OR claimed IS NULL OR adm3 IS NULL THEN 'no_validation' WHEN claimed = adm3 THEN 'match' ELSE 'mismatch' END AS psgc_validation, coalesce(m.school_management, '-') AS school_management, coalesce(m.offers_es, -1) AS offers_es
+FROM s3 LEFT JOIN meta m USING (site_id)"""
+
+
+@register(_ENROLLED + _SELF, "site", "obs", "poly", "published")
 def pipeline_self_reported(spark, d):
     u = A.published(spark, d).select("site_id", "site_name", "region", "municipality", "sector")
     o = A.obs(spark, d).where("source = 'nsbi_2324'").select("site_id", "latitude", "longitude", "_ord").join(u.select("site_id", "municipality"), "site_id", "left")
-    return pipelines.self_reported(u, o, silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+    out = pipelines.self_reported(u, o, silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    places = [F.round(F.coalesce(c, F.lit(-1.0)), 6).alias(c) for c in ("latitude", "longitude")]
+    plain = ("site_id", "sector", "region", "old_region", "municipality", "coord_status", "from_enrollment", "enrollment_status", "psgc_validation")
+    return out.select(*plain, *places, *[dash(c) for c in ("site_name", "coord_rejection_reason", "claimed_adm3", "observed_adm3", "observed_adm4", "school_management")], F.coalesce("offers_es", F.lit(-1)).alias("offers_es"))
 
 
 @register(""", c AS (SELECT *, row_number() OVER (PARTITION BY site_name, latitude, longitude ORDER BY _ord) AS rn, CASE WHEN _ord % 9 <> 0 THEN 'C' || (_ord // 7) END AS code FROM published),
