@@ -22,7 +22,7 @@ import base64
 import hashlib
 import heapq
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import regex
 from pyspark.sql import DataFrame
@@ -35,11 +35,18 @@ LEAF = 12
 UNITS, PARTS, REMEMBERED_CHARS = 300_000, 100_000, 48
 
 
+SINGLE = [bytes([i]) for i in range(256)]
+#: More than any rank.
+NONE = 1 << 60
+
+
 class MonoidBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.text_of = {i: str(i) for i in ranks.values()}
+        #: Rank of each two bytes.
+        self.first = [ranks.get(SINGLE[i >> 8] + SINGLE[i & 255], NONE) for i in range(1 << 16)]
         self.pattern = regex.compile(pattern)
         self.pairs: dict[int, list[int]] = {}
         self.leaves: dict[bytes, list[int]] = {}
@@ -50,20 +57,16 @@ class MonoidBpe:
         ranks = self.ranks
         if len(b) > 96:
             return self._merge_long(b)
-        parts = [b[i : i + 1] for i in range(len(b))]
-        none = 1 << 60
-        cost = [ranks.get(parts[i] + parts[i + 1], none) for i in range(len(parts) - 1)]
-        while cost:
-            low = min(cost)
-            if low == none:
-                break
+        get, parts, first = ranks.get, [SINGLE[x] for x in b], self.first
+        cost = [first[x << 8 | y] for x, y in zip(b, b[1:])]
+        while cost and (low := min(cost)) != NONE:
             i = cost.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del cost[i]
+            joined = parts[i] = parts[i] + parts[i + 1]
+            del parts[i + 1], cost[i]
             if i < len(cost):
-                cost[i] = ranks.get(parts[i] + parts[i + 1], none)
+                cost[i] = get(joined + parts[i + 1], NONE)
             if i:
-                cost[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+                cost[i - 1] = get(parts[i - 1] + joined, NONE)
         return [ranks[p] for p in parts]
 
     def _merge_long(self, b: bytes) -> list[int]:
@@ -151,8 +154,9 @@ class _Units(dict):
 
     def put(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= UNITS:
-                self.clear()
+            if len(self) >= UNITS:  # the older half goes
+                for old in list(islice(self, UNITS // 2)):
+                    del self[old]
             self[key] = ids
         return ids
 
