@@ -576,12 +576,12 @@ def pipeline_self_reported(spark, d):
 m AS (SELECT *, code IS NOT NULL AND count(*) OVER (PARTITION BY code) > 1 AS is_multi FROM c WHERE rn = 1),
 h AS (SELECT * FROM (SELECT m._ord, adm3, adm4, row_number() OVER (PARTITION BY m._ord ORDER BY polygon_ord) AS rk FROM m JOIN poly ON longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y0 + 2 AND CASE WHEN tri = 0 THEN latitude - y0 < 2 * (longitude - x0) ELSE latitude - y0 > 2 * (longitude - x0) END) WHERE rk = 1)
 SELECT coalesce(code, '-') AS code, site_name AS name, region, coalesce(CASE WHEN _ord % 5 <> 0 THEN province END, 'Province ' || substr(adm3, 1, 5), '-') AS province, municipality AS city_municipality, round(coalesce(latitude, -1), 6) AS latitude, round(coalesce(longitude, -1), 6) AS longitude,
-  'valid' AS coord_status, code IS NULL AS code_missing, is_multi, coalesce(adm3, '-') AS observed_adm3, coalesce(adm4, '-') AS observed_adm4 FROM m LEFT JOIN h USING (_ord)""", "published", "poly")
+  'valid' AS coord_status, code IS NULL AS code_missing, is_multi, concat_ws('|', site_name, CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR)) AS campus_id, coalesce(adm3, '-') AS observed_adm3, coalesce(adm4, '-') AS observed_adm4 FROM m LEFT JOIN h USING (_ord)""", "published", "poly")
 def pipeline_institutions(spark, d):
     out = pipelines.institutions(*institution_tables(spark, d))
     dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
     places = [F.round(F.coalesce(c, F.lit(-1.0)), 6).alias(c) for c in ("latitude", "longitude")]
-    return out.select(dash("code"), "name", "region", dash("province"), "city_municipality", *places, "coord_status", "code_missing", "is_multi", dash("observed_adm3"), dash("observed_adm4"))
+    return out.select(dash("code"), "name", "region", dash("province"), "city_municipality", *places, "coord_status", "code_missing", "is_multi", "campus_id", dash("observed_adm3"), dash("observed_adm4"))
 
 
 def institution_tables(spark, d):
