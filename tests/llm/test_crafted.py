@@ -47,10 +47,10 @@ def test_repeats_tell_crafted_words_apart(spark):
 @pytest.mark.parametrize("docs", [[ONE, TWO, "z" + ONE[:700] + "q"], [ONE * 2, TWO * 2], ["a" * 399, "a" * 400, "b" * 401, "".join(f"{i} " for i in range(900)), "".join(f"{i} " for i in range(300, 420)) + "end", ("é" * 250 + "ab" * 90) * 2]])
 def test_bucket_refinement_at_production_sizes(spark, docs):
     raw = [d.encode() for d in docs]
-    for report in (None, 200):
+    for report in (None, 256):
         rows = bucket_refine.remove_repeats(frame(spark, docs), report=report, outputs=("n_removed", "kept_sha256", *["n_reported"] * bool(report)))
         got = {r["doc_id"]: r for r in rows.collect()}
-        for i, (s, gone, told) in enumerate(zip(raw, repeated(raw, 400), repeated(raw, 200))):
+        for i, (s, gone, told) in enumerate(zip(raw, repeated(raw, 400), repeated(raw, 256))):
             assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (sum(gone), sha(bytes(c for c, g in zip(s, gone) if not g)))
             assert report is None or got[i]["n_reported"] == sum(told)
 

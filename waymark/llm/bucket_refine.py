@@ -69,8 +69,9 @@ def scheme(window: int = 400, q: int = 128, block: int = 17) -> Scheme:
         buf = np.frombuffer(b"".join(raw), np.uint8)
         hi = np.cumsum([len(r) for r in raw]).astype(np.int64)
         lo = hi - np.array([len(r) for r in raw], np.int64)
-        i = np.arange(len(buf))
-        priority = Names(BYTE_VALUES[buf]).of(i, np.minimum(i + q, len(buf)))
+        priority = np.zeros(len(buf), np.uint64)  # the last places begin no q-gram and are no anchors
+        grams = Names(BYTE_VALUES[buf]).of_length(q)
+        priority[: len(grams)] = grams
         made: list[Buckets] = []
 
         def names(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -162,6 +162,13 @@ class Names:
             return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64) * _M2)
 
 
+    def of_length(self, q: int) -> np.ndarray:
+        """The names of all ranges of q items, by start."""
+        n = max(0, len(self.sums) - q)
+        with np.errstate(over="ignore"):
+            return mix((self.sums[q:] - self.sums[:n]) * self.inverse[:n] + np.uint64(q) * _M2)
+
+
 #: Four primes below 2^31, each with a base.
 FIELDS = ((2147483647, 1203798337), (2147483629, 708425113), (2147483587, 1918726363), (2147483579, 331998527))
 
@@ -174,7 +181,8 @@ class PrimeNames:
         items = buf.astype(np.uint64) + np.uint64(1)
         self.fields = []
         for p, base in FIELDS:
-            sums = np.zeros(n + 1, np.uint64)
+            sums = np.empty(n + 1, np.uint64)
+            sums[0] = 0
             power, modulus = powers(base, n + 1, p), np.uint64(p)
             for lo in range(0, n, 1 << 24):  # sums of so many products stay below 2^64
                 hi = min(n, lo + (1 << 24))

@@ -64,8 +64,8 @@ def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """n_reported: bytes inside repeats of at least 200 bytes, which stay. Passages of some fifty words are often shorter than the 400 bytes from which on repeats are removed."""
-    return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, report=200, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_reported"))
+    """n_reported: bytes inside repeats of at least 256 bytes, which stay. Passages of some fifty words are often shorter than the 400 bytes from which on repeats are removed."""
+    return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, report=256, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_reported"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ def _spans_sql(name: str, size: int) -> str:
 ORACLES["op6_bucket_refinement"] = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 {_spans_sql("span", 400)},
-{_spans_sql("short", 200)},
+{_spans_sql("short", 256)},
 piece AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM span),
 gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head, max(b) AS rest FROM piece JOIN d USING (doc_id) GROUP BY doc_id),
 told AS (SELECT doc_id, sum(b - a) AS n FROM short GROUP BY doc_id)

@@ -60,12 +60,9 @@ class Scheme:
 
 def anchors(scheme: Scheme, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of anchors and the first and last start of the windows given to each."""
-    count = lay.hi - lay.lo
-    starts = np.repeat(lay.lo, np.maximum(0, count - scheme.window + 1))
-    if not len(starts):
+    n = len(lay.priority) - scheme.window + 1  # starts, those of windows across texts included
+    if n < 1:
         return (np.zeros(0, np.int64),) * 3
-    here = np.maximum(0, count - scheme.window + 1)
-    starts = starts + np.arange(len(starts)) - np.repeat(np.cumsum(here) - here, here)
     # 32 bits of priority and the place: of equal priorities the first wins. Arrow's strings are below 2^31 bytes, so places fit
     mask = np.uint64(0xFFFFFFFF)
     least = (lay.priority & ~mask) | np.arange(len(lay.priority), dtype=np.uint64)
@@ -75,10 +72,14 @@ def anchors(scheme: Scheme, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.nda
         span *= 2
     if rest := scheme.width - span:
         least = np.minimum(least[:-rest], least[rest:])
-    at = (least[starts + scheme.near] & mask).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-    last = np.concatenate([first[1:], [len(at)]]) - 1
-    return at[first], starts[first], starts[last]
+    at = least[scheme.near : scheme.near + n] & mask
+    within = np.zeros(n, bool)
+    for lo, hi in zip(lay.lo.tolist(), lay.hi.tolist(), strict=True):
+        within[lo : max(lo, hi - scheme.window + 1)] = True
+    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (within[1:] != within[:-1])]))
+    last = np.append(first[1:], n) - 1
+    own = within[first]
+    return at[first[own]].astype(np.int64), first[own], last[own]
 
 
 def named(scheme: Scheme, lay: Layout, text: np.ndarray, at: np.ndarray, near: np.ndarray, far: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
