@@ -352,6 +352,8 @@ STUCK, PILE = -2, 1000
 
 #: Shingles of all sets that a task holds at once.
 HELD = 4_000_000
+#: Sets in large regions up to which their keys are broadcast.
+FEW = 500_000
 
 
 def _too_large(members: DataFrame, work: int) -> DataFrame:
@@ -408,7 +410,7 @@ def _least_count(counts: DataFrame, heavy: int) -> int:
     return least
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 50_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy: int = 131_072, work: int = 400_000_000, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """k1, k2 (keys of rows as from keyed()), doc_id, n_shingles, node (the set), root (a node that stands for its component), component_id (least doc_id that is reachable by links), and, unless links is false, n_links (the other rows that the row links with). work: sets times shingles that one task compares."""
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
@@ -454,7 +456,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     if large.isEmpty():
         ready = fill(members)
     else:
-        cut = cut_regions(stored(fill(members.join(large.select("region"), "region", "left_semi")), "jaccard-members"), least, work)
+        part = members.join(large.select("region"), "region", "left_semi")
+        if large.agg(F.sum("m")).first()[0] <= FEW:  # their keys, some 50 bytes each, go to the texts, so that these don't travel once more
+            part = F.broadcast(part)
+        cut = cut_regions(stored(fill(part), "jaccard-members"), least, work)
         ready = fill(members.join(large.select("region"), "region", "left_anti")).unionByName(cut)
     # rows that agree in id and text share a key and give a set twice, which the task sees to
     linked = stored(ready.groupBy("region").applyInArrow(_in_task(least, links), "a long, b long, links long"), "jaccard-links")
