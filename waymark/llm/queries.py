@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import bucket_refine, cascade, decontaminate, jaccard, monoid_bpe, pii, piece_count, recompression, revisit
+from waymark.llm import bucket_refine, cascade, decontaminate, jaccard, lexical, monoid_bpe, packing, pii, piece_count, recompression, revisit
+from waymark.llm import variants as spelling
 from waymark.llm import toxicity as tox
 
 
@@ -76,7 +77,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monoid_bpe.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op3_jaccard_join, op3_jaccard_links, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii)}
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir), least_length=5, least_count=3, ratio=2, drop_one_in=97)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, terminator=0, outputs=("ids_crc32",))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_recompression, op3_jaccard_join, op3_jaccard_links, op4_token_counts, op5_revisits, op6_bucket_refinement, op7_quality, op8_byte_bpe, op9_decontaminate, op10_pii, op11_variants, op12_lexical_search, op13_packing)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -200,3 +213,36 @@ _FIVE = {"len(w) < 3": "len(w) < 5", "w[i : i + 2]": "w[i : i + 4]", "len(w) - 1
 ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_join"]
 for _three, _five in _FIVE.items():
     ORACLES["op3_jaccard_links"] = ORACLES["op3_jaccard_links"].replace(_three, _five)
+
+ORACLES["op11_variants"] = r"""
+WITH RECURSIVE crcs AS (SELECT 0 AS k, x AS i, CAST(x AS BIGINT) AS c FROM range(256) t(x)
+  UNION ALL SELECT k + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crcs WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM crcs WHERE k = 8),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY 1, 2),
+bytes AS (SELECT doc_id, run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS s FROM runs),
+summed AS (SELECT doc_id, run, n, xor(4294967295, list_reduce(list_transform(range(0, length(s) // 2), lambda j: CAST('0x' || s[2 * j + 1 : 2 * j + 2] AS BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295)) AS h FROM bytes, tab),
+kept AS (SELECT CASE WHEN h % 97 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+without AS (SELECT word, n, p, word[1 : p] || word[p + 2 :] AS d FROM words, unnest(range(0, length(word))) t(p)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM without a JOIN without b ON a.d = b.d AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.d = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS stop FROM forms UNION ALL SELECT walk.word, form FROM walk JOIN forms ON forms.word = stop WHERE form IS NOT NULL)
+SELECT f.word, f.form, stop AS root, f.n, f.n_near, f.form_n FROM walk JOIN forms e ON e.word = stop AND e.form IS NULL JOIN forms f ON f.word = walk.word
+"""
+
+_TERMS = r"unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+ORACLES["op12_lexical_search"] = f"""
+WITH t AS (SELECT doc_id, {_TERMS} FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY 1),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, docs),
+m AS (SELECT doc_id, 10 + 90 * n * docs // total AS m FROM n, whole),
+items AS (SELECT DISTINCT item_id, {_TERMS} FROM benchmark),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * (1000000000 * tf // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM items JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0) WHERE rank <= 10
+"""
