@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from waymark.llm.common import slices, stored, texts
 
@@ -192,7 +192,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = 10, block_chars: int =
         best = best.withColumn("rank", F.row_number().over(Window.partitionBy("item", bucket).orderBy(*order))).where(F.col("rank") <= top)
         best = best.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("rank") <= top)
         parts.append(best.join(F.broadcast(ids), "item").select("item_id", "rank", "doc_id", "score"))
-    out = parts[0] if parts else spark.createDataFrame([], StructType().add("item_id", item_kind).add("rank", "int").add("doc_id", doc_kind).add("score", "long"))
+    out = parts[0] if parts else spark.createDataFrame([], StructType([StructField("item_id", item_kind), StructField("rank", IntegerType()), StructField("doc_id", doc_kind), StructField("score", LongType())]))
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
