@@ -57,6 +57,10 @@ class Scheme:
     block_sizes: tuple[int, ...]
     lay_out: Callable[[list], Layout]
 
+    def __post_init__(self) -> None:
+        if self.near + self.width > _NEAR:
+            raise ValueError(f"windows of over {_NEAR} items are not supported")
+
 
 def anchors(scheme: Scheme, lay: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of anchors and the first and last start of the windows given to each."""
@@ -92,8 +96,13 @@ def named(scheme: Scheme, lay: Layout, text: np.ndarray, at: np.ndarray, near: n
     return [x.view(np.int64) for x in (pair(parent.view(np.uint64), inner + near.astype(np.uint64)), one ^ place, two + place)]
 
 
+#: Bits of a distance in a packed block; the place in the text, below 2^31, stands above them.
+_NEAR_BITS = 28
+_NEAR = (1 << _NEAR_BITS) - 1
+
+
 def _pack(at: np.ndarray, near: np.ndarray, level: int, target) -> np.ndarray:
-    return at << 16 | near << 4 | level << 1 | target
+    return at << _NEAR_BITS + 4 | near << 4 | level << 1 | target
 
 
 def _rows(cols: list, k1: np.ndarray, k2: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
@@ -129,10 +138,10 @@ def _next_round(scheme: Scheme, level: int) -> Callable:
                 part = opened.slice(lo, n)
                 packed, parent = (part.values.field(c).to_numpy()[part.offsets[0].as_py() : part.offsets[-1].as_py()] for c in ("at", "bucket"))
                 text = np.repeat(np.arange(n), np.diff(part.offsets.to_numpy()))
-                where = (packed >> 16) + lay.lo[text]
+                where = (packed >> _NEAR_BITS + 4) + lay.lo[text]
                 own = np.searchsorted(at, where)
                 d_min, d_max = where - s_last[own], where - s_first[own]
-                start, target = packed >> 4 & 0xFFF, packed & 1
+                start, target = packed >> 4 & _NEAR, packed & 1
                 pieces = -(-wide // size)
                 near = start[:, None] + size * np.arange(pieces)[None, :]
                 far = np.minimum(near + size, np.minimum(start + wide, scheme.near + scheme.width)[:, None]) - 1
@@ -210,9 +219,9 @@ def covered(scheme: Scheme, lay: Layout, blocks: list) -> np.ndarray:
         at, s_first, s_last = anchors(scheme, lay)
         packed = np.concatenate([np.asarray(b, np.int64) for b in blocks if b is not None])
         text = np.repeat(np.arange(len(blocks)), per)
-        where = (packed >> 16) + lay.lo[text]
+        where = (packed >> _NEAR_BITS + 4) + lay.lo[text]
         own = np.searchsorted(at, where)
-        near, level = packed >> 4 & 0xFFF, packed >> 1 & 7
+        near, level = packed >> 4 & _NEAR, packed >> 1 & 7
         sizes = np.array([scheme.width, *scheme.block_sizes])
         far = near + sizes[level] - 1
         first, last = np.maximum(s_first[own], where - far), np.minimum(s_last[own], where - near)
