@@ -65,8 +65,7 @@ def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """n_reported: bytes inside repeats of at least 256 bytes, which stay. Passages of some fifty words are often shorter than the 400 bytes from which on repeats are removed."""
-    return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, report=256, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_reported"))
+    return bucket_refine.remove_repeats(_documents(spark, sf_dir), window=400, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,23 +187,20 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 }
 
 
-def _spans_sql(name: str, size: int) -> str:
-    """Maximal runs of bytes inside strings of this many bytes that start twice or more, as common table expressions: {name}(doc_id, a, b). Texts are hexadecimal, two digits a byte."""
-    return f"""{name}_w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * size})) AS s FROM d, unnest(range(0, length(h) // 2 - {size - 1})) t(i)),
-{name}_twice AS (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -{size + 1}) AS before FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM {name}_w) WHERE n > 1),
-{name} AS (SELECT doc_id, min(i) AS a, max(i) + {size} AS b FROM (SELECT *, count(*) FILTER (WHERE i > before + {size}) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM {name}_twice) GROUP BY doc_id, k)"""
-
-
-ORACLES["op6_bucket_refinement"] = f"""
+#: Texts are hexadecimal, two digits a byte, in chunks that overlap by a window less a byte. Only starts whose first 64 bytes are met twice can begin a repeated window.
+ORACLES["op6_bucket_refinement"] = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-{_spans_sql("span", 400)},
-{_spans_sql("short", 256)},
+chunk AS (SELECT doc_id, 512 * k AS base, substr(h, 1024 * k + 1, 1024 + 798) AS s FROM d, unnest(range(0, (length(h) // 2 + 511) // 512)) t(k)),
+gram AS (SELECT doc_id, base, j, hash(substr(s, 2 * j + 1, 128)) AS g FROM chunk, unnest(range(0, least(512, length(s) // 2 - 399))) t(j)),
+met AS (SELECT doc_id, base, j FROM gram SEMI JOIN (SELECT g FROM gram GROUP BY g HAVING count(*) > 1) USING (g)),
+windows AS (SELECT doc_id, base + j AS i, md5(substr(s, 2 * j + 1, 800)) AS w FROM met JOIN chunk USING (doc_id, base)),
+twice AS (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -401) AS before FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM (SELECT *, count(*) FILTER (WHERE i > before + 400) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM twice) GROUP BY doc_id, k),
 piece AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM span),
-gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head, max(b) AS rest FROM piece JOIN d USING (doc_id) GROUP BY doc_id),
-told AS (SELECT doc_id, sum(b - a) AS n FROM short GROUP BY doc_id)
+gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head, max(b) AS rest FROM piece JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * rest + 1) END)) AS kept_sha256, CAST(coalesce(n, 0) AS BIGINT) AS n_reported
-FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN told USING (doc_id)
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * rest + 1) END)) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
 """
 
 _LAST = "SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles,"
