@@ -8,7 +8,6 @@ import pytest
 import __spark_entry__ as entry
 from waymark.plans import catalogue, pipelines
 from waymark.sources import io
-from waymark.streaming import reports
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -80,18 +79,3 @@ def test_sources(spark, tmp_path):
     assert spark.read.parquet(f"{root}/gold").columns == ["site_id", "sector", "more"]
     described = {r["field"]: r["value"] for r in io.describe_output(df, {"sector": "who runs it"}).collect()}
     assert described == {"rows": "2", "site_id": " (2 rows)", "sector": "who runs it (2 rows)"}
-
-
-def test_streams(spark, tmp_path):
-    src = str(tmp_path / "in")
-    spark.sql("SELECT 1 AS k, timestamp '2024-01-01 00:00:10' AS t, 'b' AS v UNION ALL SELECT 2, timestamp '2024-01-01 00:00:20', 'c'").coalesce(1).write.mode("append").parquet(src)
-    schema = spark.read.parquet(src).schema
-    table = str(tmp_path / "table")
-    for _ in range(2):
-        reports.earliest_report_table(reports.report_stream(spark, src, schema), "k", "t", table, str(tmp_path / "cp")).awaitTermination(60)
-        spark.sql("SELECT 1 AS k, timestamp '2024-01-01 00:00:05' AS t, 'a' AS v").coalesce(1).write.mode("append").parquet(src)
-    assert sorted(tuple(r) for r in spark.read.parquet(table).select("k", "v").collect()) == [(1, "a"), (2, "c")]
-    first = reports.first_report_stream(reports.report_stream(spark, src, schema), "k", "t")
-    q = first.writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
-    q.awaitTermination(60)
-    assert spark.table("firsts").count() == 2

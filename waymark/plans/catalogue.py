@@ -600,4 +600,4 @@ def lookup_join_aggregate(spark, d):
     return rows.groupBy(F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("mean_price"))
 
 
-from waymark.plans import details  # noqa: E402, F401  registers its queries, with what is defined above
+from waymark.plans import details, layers  # noqa: E402, F401  register their queries, with what is defined above

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,19 +38,89 @@ def read_geojson(spark: SparkSession, path: str, id_prop: str = "ref", lines: bo
     return rows.select(ident.alias("ref"), "properties", F.col("geometry.type").alias("kind"), F.col("geometry.coordinates").alias("coordinates")).where(F.coalesce(F.col("ref") != "", F.lit(False)))
 
 
-def read_offset_table(spark: SparkSession, path: str, header_row: int) -> DataFrame:
-    """A CSV export with title rows above its header: columns named by the row of that number (from 0), rows below it. The exports are single files of sheets; their lines are numbered in one scan."""
-    raw = spark.read.csv(path, header=False, inferSchema=False).withColumn("_ord", F.monotonically_increasing_id())
-    head = raw.where(F.col("_ord") == header_row).first()
-    if head is None:
-        raise ValueError(f"{path} has no row {header_row}")
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files by split: file, start (of the split), pos (of the line in it), quotes (of the line), inside (an odd number of quotes stands before it in the split), and how many lines before it in the split begin a record, if the split begins outside a quoted cell (outer) or inside one (inner). A task reads its splits in order, so nothing is shuffled."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, pos, seen, outer = None, 0, 0, 0
+        for batch in batches:
+            value, file, start = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            own = pc.count_substring(value, '"').to_numpy(zero_copy_only=False)
+            edges = [0, *[i for i in range(1, len(own)) if (file[i], start[i]) != (file[i - 1], start[i - 1])], len(own)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if (file[a], start[a]) != split:
+                    split, pos, seen, outer = (file[a], start[a]), 0, 0, 0
+                n = own[a:b]
+                odd = (seen + np.cumsum(n) - n) % 2
+                at = pos + np.arange(b - a)
+                begun = outer + np.cumsum(1 - odd) - (1 - odd)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(at), pa.array(n.astype(np.int64)), pa.array(odd == 1), pa.array(begun), pa.array(at - begun), value.slice(a, b - a)], names=["file", "start", "pos", "quotes", "inside", "outer", "inner", "value"])
+                pos, seen, outer = pos + b - a, int(seen + n.sum()), int(outer + (1 - odd).sum())
+
+    return lines.mapInArrow(run, "file string, start long, pos long, quotes long, inside boolean, outer long, inner long, value string")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, _ord, record: the records of CSV files with their numbers, from 0 in each file; blank lines are records, a line break in a quoted cell isn't an end. Files are read split by split. Quotes in a record are paired (a quote in a cell is doubled), so a line begins a record if the quotes before it are even in number: counts of each split, added up over splits, tell where records begin and their numbers. Only records of several lines are put together by a shuffle. Raises for a file whose quotes don't pair."""
+    lines = _numbered_lines(spark, path)
+    splits = silver(lines.groupBy("file", "start").agg(F.sum("quotes").alias("quotes"), F.count_if(~F.col("inside")).alias("outer"), F.count_if("inside").alias("inner")), "splits")
+    if odd := splits.groupBy("file").agg(F.sum("quotes").alias("n")).where("n % 2 = 1").first():
+        raise ValueError(f"{odd['file']} has a quote without its pair")
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    entered = splits.withColumn("within", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
+    own = F.when(F.col("within"), F.col("inner")).otherwise(F.col("outer"))
+    entered = entered.select("file", "start", "within", F.coalesce(F.sum(own).over(before), F.lit(0)).alias("base"))
+    begins = F.col("inside") == F.col("within")
+    earlier = F.when(F.col("within"), F.col("inner")).otherwise(F.col("outer"))
+    number = F.col("base") + earlier - F.when(begins, 0).otherwise(1)
+    placed = lines.join(entered, ["file", "start"]).select("file", "start", "pos", number.alias("_ord"), (begins & (F.col("quotes") % 2 == 0)).alias("alone"), "value")
+    several = placed.where("not alone").groupBy("file", "_ord").agg(F.sort_array(F.collect_list(F.struct("start", "pos", "value"))).alias("parts"))
+    return placed.where("alone").select("file", "_ord", F.col("value").alias("record")).unionByName(several.select("file", "_ord", F.array_join(F.col("parts.value"), "\n").alias("record")))
+
+
+def header_names(cells: Sequence[str | None]) -> list[str]:
+    """Names of columns: blank ones by place, repeated ones with .1, .2 and so on."""
     seen: dict[str, int] = {}
     names = []
-    for i, name in enumerate(head[:-1]):
-        name = (name or f"_c{i}").strip()
+    for i, name in enumerate(cells):
+        name = (name or "").strip() or f"_c{i}"
         seen[name] = seen.get(name, -1) + 1
         names.append(name if not seen[name] else f"{name}.{seen[name]}")
-    return raw.where(F.col("_ord") > header_row).toDF(*names, "_ord")
+    return names
+
+
+def _cells(record: str) -> list[str]:
+    """The cells of one record, without blank ones at its end."""
+    cells = next(csv.reader([record.removeprefix("\ufeff")]), [])
+    while cells and not cells[-1].strip():
+        cells.pop()
+    return cells
+
+
+def read_offset_table(spark: SparkSession, path: str, header_row: int) -> DataFrame:
+    """CSV exports of sheets with title rows above the header: columns named by the record of that number (from 0; blank rows and titles of any width count, quoted cells may hold line breaks), the records below it, blank cells null, and _ord, the record's number in its file. Of several files each has its own titles and the same header. Files are read in splits. Rows that are shorter than the header end in nulls; rows with more cells raise."""
+    records = read_records(spark, path)
+    heads = records.where(F.col("_ord") == header_row).select("record").distinct().take(2)
+    if len(heads) != 1:
+        raise ValueError(f"{path} has no row {header_row}" if not heads else f"the files of {path} differ in row {header_row}")
+    names = header_names(_cells(heads[0][0]))
+    if "_ord" in names:
+        raise ValueError(f"{path} has a column _ord")
+    width = len(names)
+    found = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField("_ord", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_cells(r) for r in batch.column(1).to_pylist()]
+            for row, at in zip(rows, batch.column(0).to_pylist(), strict=True):
+                if len(row) > width:
+                    raise ValueError(f"{path}: row {at} has {len(row)} cells, the header {width}")
+                row.extend([None] * (width - len(row)))
+            columns = [pa.array([r[i] if r[i] and r[i].strip() else None for r in rows], pa.string()) for i in range(width)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(0)], names=[*names, "_ord"])
+
+    return records.where(F.col("_ord") > header_row).select("_ord", "record").mapInArrow(run, found)
 
 
 def stack_by_position(dfs: Sequence[DataFrame], names: Mapping[int, str]) -> DataFrame:
@@ -91,18 +165,22 @@ def read_optional(spark: SparkSession, root: str, name: str) -> DataFrame | None
         return None
 
 
-def silver(df: DataFrame, name: str) -> DataFrame:
-    """df written once in the folder that driver and executors share (spark.checkpoint.dir) and read again: for tables that several later steps read. The plan of what follows starts at a scan, and lost executors cost no recomputation."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
         if not spark.sparkContext.master.startswith("local"):  # a folder of one machine is no use to others
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         at = spark.sparkContext.getCheckpointDir()
-    path = f"{at.rstrip('/')}/waymark-{name}-{uuid.uuid4().hex}"
+    return f"{at.rstrip('/')}/waymark-{name}-{uuid.uuid4().hex}"
+
+
+def silver(df: DataFrame, name: str) -> DataFrame:
+    """df written once under shared_path and read again: for tables that several later steps read. The plan of what follows starts at a scan, and lost executors cost no recomputation."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
@@ -119,7 +197,8 @@ def write_gold(df: DataFrame, path: str, columns: Sequence[str], key: Sequence[s
 
 
 def write_gold_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; a quote in a cell is doubled, as read_csv_strings takes it."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

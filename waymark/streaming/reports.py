@@ -1,10 +1,16 @@
 """Reports that keep arriving: the first of each key counts, as in the batch operator keep_first."""
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
+
+#: Keyed state needs a state store that keeps keys and timers on disk.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+ARRIVED = "__arrived"
 
 
 def report_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -17,21 +23,58 @@ def first_report_stream(reports: DataFrame, key: str, time: str, delay: str = "1
     return reports.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def earliest_report_table(reports: DataFrame, key: str, time: str, table: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
-    """A table with the earliest report of each key over all time, in buckets by key. A batch reads and replaces only the buckets that its keys fall into; merging a batch again changes nothing, so one that failed half-way is simply repeated."""
-
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-        touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # at most `buckets` numbers
-        try:
-            stored = spark.read.schema(batch.schema).parquet(table).where(F.col("bucket").isin(touched))
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            stored = batch.limit(0)
-        row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
-        merged = stored.unionByName(batch).groupBy(F.col(key).alias("__k")).agg(F.min_by(row, F.col(time)).alias("r")).select("r.*")
-        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
-
-    return reports.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+class Earliest(StatefulProcessor):
+    """For each key the order (columns that rank its reports) of the earliest report seen, and when the key was last heard of. A report that comes before it is passed on. A timer forgets a key that is idle: a later report of it may then be passed on in vain, which the reader of the log makes good."""
+
+    def __init__(self, order: Sequence[str], schema: StructType, idle_ms: int) -> None:
+        self.order, self.columns, self.idle_ms = list(order), schema.names, idle_ms
+        self.kept = StructType([*[schema[c] for c in self.order], StructField("heard", LongType())])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.best = handle, handle.getValueState("best", self.kept)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = self.best.get()
+        *order, heard = kept if kept is not None else [None]
+        first, now = None, None
+        for part in rows:
+            now = int(part.iloc[0, -2])  # by place, as Spark renames columns that are constant in a batch
+            row = part.sort_values(self.order, kind="stable").iloc[[0]]
+            at = [x.to_pydatetime() if isinstance(x, pd.Timestamp) else x.item() if hasattr(x, "item") else x for x in (row[c].iloc[0] for c in self.order)]
+            if not order or at < order:
+                first, order = row, at
+        if first is not None or now - heard > self.idle_ms // 2:
+            self.best.update((*order, now))
+        if heard is None:
+            self.handle.registerTimer(now + self.idle_ms)
+        if first is not None:
+            yield first[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        *_, heard = self.best.get()
+        if heard + self.idle_ms > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(heard + self.idle_ms)
+        else:
+            self.best.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def earlier_reports(reports: DataFrame, key: str, order: Sequence[str], idle: int = 7 * 24 * 3600) -> DataFrame:
+    """From a stream of reports, those that come before all that their key has sent until then, by the columns of order. The watermark is on the time of arrival, which never falls back, so no report is too late, however old it is. State is one row a key, forgotten after `idle` seconds without a report. Reports without key or order are left out. Set STATE_STORE in the session."""
+    whole = reports.where(" and ".join(f"`{c}` is not null" for c in (key, *order)))
+    arriving = whole.withColumns({f"{ARRIVED}_ms": F.unix_millis(F.current_timestamp()), ARRIVED: F.current_timestamp()}).withWatermark(ARRIVED, "0 seconds")
+    return arriving.groupBy(key).transformWithStateInPandas(Earliest(order, reports.schema, idle * 1000), reports.schema, "Append", "EventTime")
+
+
+def earliest_report_log(reports: DataFrame, key: str, order: Sequence[str], log: str, checkpoint: str, idle: int = 7 * 24 * 3600) -> StreamingQuery:
+    """Runs earlier_reports over what has arrived and appends to a log of Parquet files. Nothing written is ever rewritten: state and offsets are in the checkpoint, and a batch that is repeated after a failure at any point either finds its files committed or writes them anew."""
+    return earlier_reports(reports, key, order, idle).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", log).trigger(availableNow=True).start()
+
+
+def read_earliest(spark: SparkSession, log: str, key: str, order: Sequence[str]) -> DataFrame:
+    """The earliest report of each key: the last of the log's few rows a key, one aggregate with partial sums."""
+    rows = spark.read.parquet(log)
+    return rows.groupBy(F.col(key).alias("__k")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(*order)).alias("r")).select("r.*")
