@@ -35,10 +35,14 @@ def on_edge(x: Column, y: Column, sides: Column) -> Column:
     return F.exists(sides, lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
 
 
+def sides_to_the_right(x: Column, y: Column, sides: Column) -> Column:
+    """How many sides a ray to the right meets; a side has its lower end and not its upper one."""
+    return F.aggregate(sides, F.lit(0), lambda n, e: n + F.when(((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.when(e["y2"] == e["y1"], F.lit(1.0)).otherwise(e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0))
+
+
 def strictly_inside(x: Column, y: Column, sides: Column) -> Column:
     """Even-odd rule over the sides of all rings, so holes and parts need no care; the boundary is outside."""
-    crossings = F.aggregate(sides, F.lit(0), lambda n, e: n + F.when(((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.when(e["y2"] == e["y1"], F.lit(1.0)).otherwise(e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0))
-    return (crossings % 2 == 1) & ~on_edge(x, y, sides)
+    return (sides_to_the_right(x, y, sides) % 2 == 1) & ~on_edge(x, y, sides)
 
 
 def distance_to_sides(x: Column, y: Column, sides: Column) -> Column:
