@@ -46,9 +46,9 @@ def test_rows_only(spark, sf, name):
 def test_pipeline_invariants(spark, sf):
     rows = catalogue.QUERIES["pipeline_multi_source"](spark, sf).collect()
     for r in rows:
-        assert (r["coord_status"] == "suspect") <= (r["coord_rejection_reason"] is not None)
-        assert (r["coord_fallback_from"] is None) or r["coord_fallback_from"] != r["coord_source"]
-        assert (r["latitude"] is None) == (r["coord_status"] == "no_coords")
+        assert (r["coord_status"] == "suspect") <= (r["coord_rejection_reason"] != "-")
+        assert r["coord_fallback_from"] == "-" or r["coord_fallback_from"] != r["coord_source"]
+        assert (r["latitude"] == -1) == (r["coord_status"] == "no_coords")
 
 
 def test_institutions(spark):

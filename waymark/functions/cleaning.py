@@ -236,6 +236,15 @@ def name_similarity(a: Column | str, b: Column | str) -> Column:
     return _ratcliff(F.lower(F.trim(F.coalesce(_c(a), F.lit("")))), F.lower(F.trim(F.coalesce(_c(b), F.lit("")))))
 
 
+def name_similarity_bound(a: Column | str, b: Column | str) -> Column:
+    """What name_similarity can't exceed, without Python: matching blocks hold at most the letters that both names have, each as often as in the name that has it less."""
+    x, y = F.lower(F.trim(F.coalesce(_c(a), F.lit("")))), F.lower(F.trim(F.coalesce(_c(b), F.lit(""))))
+    letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i: F.substring(x, i, 1)))
+    often = lambda t, c: F.length(t) - F.length(F.replace(t, c))
+    common = F.aggregate(letters, F.lit(0), lambda n, c: n + F.least(often(x, c), often(y, c)))
+    return F.when((x != "") & (y != ""), F.lit(2.0) * common / (F.length(x) + F.length(y))).otherwise(F.lit(0.0))
+
+
 def levenshtein_similarity(a: Column | str, b: Column | str) -> Column:
     """Another measure, without Python: 1 - edits / length of the longer."""
     x, y = F.lower(F.trim(_c(a))), F.lower(F.trim(_c(b)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark import schema as S
-from waymark.functions.cleaning import has_valid_coords, levenshtein_similarity, name_similarity, normalize_id
+from waymark.functions.cleaning import has_valid_coords, levenshtein_similarity, name_similarity, name_similarity_bound, normalize_id
 from waymark.functions.geo import cell, haversine_km, longitude_reach
 from waymark.operators.dedup import _best, distinct_pairs, identity_first
 
@@ -81,8 +81,11 @@ def near_pairs(left: DataFrame, right: DataFrame, km: float = S.NEAR_KM, size: f
 
 
 def spatial_name_match(left: DataFrame, right: DataFrame, km: float = S.NEAR_KM, least: float = S.SIMILARITY, similarity=name_similarity) -> DataFrame:
-    """For each left row the most similar right one within km, if similar enough; of equally similar ones the first by _ord. The measure is taken of (left, right) in that order."""
-    scored = near_pairs(left, right, km).withColumn("similarity", similarity("l_site_name", "r_site_name")).where(F.col("similarity") >= least)
+    """For each left row the most similar right one within km, if similar enough; of equally similar ones the first by _ord. The measure is taken of (left, right) in that order. Of names whose letters alone rule the pair out none goes to Python."""
+    pairs = near_pairs(left, right, km)
+    if similarity is name_similarity:
+        pairs = pairs.where(name_similarity_bound("l_site_name", "r_site_name") >= least)
+    scored = pairs.withColumn("similarity", similarity("l_site_name", "r_site_name")).where(F.col("similarity") >= least)
     return _best(scored, ["l_site_id"], F.struct(-F.col("similarity"), F.col("r__ord")))
 
 

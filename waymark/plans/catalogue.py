@@ -16,6 +16,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Ratcliff-Obershelp in SQL: of each distinct pair of names (x, y) in `pairs` the longest common block, of equally long ones the first in x, then in y; then what lies left and right of it in both.
+_RATCLIFF = """, steps AS (SELECT x, y, 0 AS alo, length(x) AS ahi, 0 AS blo, length(y) AS bhi, 0 AS size FROM (SELECT DISTINCT x, y FROM pairs WHERE x <> '' AND y <> '')
+  UNION ALL SELECT x, y, unnest([alo, i + s, 0]), unnest([i, ahi, 0]), unnest([blo, j + s, 0]), unnest([j, bhi, 0]), unnest([0, 0, s]) FROM (
+    SELECT x, y, alo, ahi, blo, bhi, -best.k AS s, best.i AS i, best.j AS j FROM (
+      SELECT x, y, alo, ahi, blo, bhi, min({'k': -run, 'i': i, 'j': j}) AS best FROM (
+        SELECT *, coalesce(list_position(list_transform(range(0, least(ahi - i, bhi - j)), lambda t: x[i + t + 1] = y[j + t + 1]), false) - 1, least(ahi - i, bhi - j)) AS run
+        FROM (SELECT *, unnest(range(blo, bhi)) AS j FROM (SELECT *, unnest(range(alo, ahi)) AS i FROM steps)) WHERE x[i + 1] = y[j + 1])
+      GROUP BY ALL))),
+ratio AS (SELECT x, y, CAST(2 * sum(size) AS DOUBLE) / (length(x) + length(y)) AS s FROM steps GROUP BY x, y),
+scored AS (SELECT l, r, o, coalesce(s, 0) AS s FROM pairs LEFT JOIN ratio USING (x, y)),
+alike AS (SELECT l, r, s FROM (SELECT *, row_number() OVER (PARTITION BY l ORDER BY s DESC, o) AS rn FROM scored WHERE s >= 0.6) WHERE rn = 1)
+"""
+
+
 def register(sql: str | None = None, *views: str):
     """Registers a query under its function's name with its SQL, the views named put before it."""
 
@@ -23,6 +37,8 @@ def register(sql: str | None = None, *views: str):
         QUERIES[f.__name__] = f
         if sql is not None:
             ORACLES[f.__name__] = (A.ctes(*views) + "\n" if views else "") + sql
+            if _RATCLIFF in sql:  # whose steps refer to themselves
+                ORACLES[f.__name__] = ORACLES[f.__name__].replace("WITH ", "WITH RECURSIVE ", 1)
         return f
 
     return add
@@ -145,12 +161,6 @@ def crosswalk_identity_first(spark, d):
     return dedup.identity_first(layer1(spark, d)).select("historical_id", "canonical_id")
 
 
-@register()
-def crosswalk_both_layers(spark, d):
-    known = A.site(spark, d).where("_ord % 80 = 5 OR _ord % 3 = 0").select("site_id")
-    return crosswalk.build_crosswalk(A.mapping(spark, d), clean(spark, d), known).drop("_ord")
-
-
 # --- cascades ---------------------------------------------------------------------------------------------------------
 
 _CASCADE = f""", {_CLEAN}, best AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, _ord) AS rn FROM clean WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
@@ -237,7 +247,11 @@ def spatial_near_pairs(spark, d):
     return crosswalk.near_pairs(a, b).select("l_site_id", "r_site_id", F.round("distance_km", 6).alias("distance_km"))
 
 
-@register()
+_PAIRS = f""", pairs AS (SELECT a.site_id AS l, b.site_id AS r, b._ord AS o, lower(trim(coalesce(a.site_name, ''))) AS x, lower(trim(coalesce(b.site_name, ''))) AS y FROM {{a}} a, {{b}} b WHERE abs(a.latitude - b.latitude) < 0.002 AND {_HAV} <= 0.1)
+"""
+
+
+@register(_NEAR + _PAIRS.format(a="a0", b="b0") + _RATCLIFF + "SELECT l AS l_site_id, r AS r_site_id, round(s, 6) AS similarity FROM alike", "site")
 def spatial_name_match(spark, d):
     a, b = near_tables(spark, d)
     return crosswalk.spatial_name_match(a, b).select("l_site_id", "r_site_id", F.round("similarity", 6).alias("similarity"))
@@ -529,11 +543,6 @@ def located_observations(spark, d):
     return clean(spark, d).join(places, "_ord").withColumns({c: F.when(have, F.col(c)) for c in S.LOCATION_COLS})
 
 
-@register()
-def pipeline_multi_source(spark, d):
-    return pipelines.multi_source(silver(located_observations(spark, d), "located"), A.mapping(spark, d), silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
-
-
 #: What enrolment() gives, e.
 _ENROLLED = """, e0 AS (SELECT p._ord, p.site_id, p.site_name, s.sector, p.region, p.province, p.municipality, p.barangay FROM published p JOIN site s USING (_ord) WHERE p._ord % 10 <> 7
   UNION ALL SELECT p._ord + 1099511627776, CAST(500000 + p._ord AS VARCHAR), p.site_name, p.sector, p.region, p.province, p.municipality, p.barangay FROM published p JOIN supplier ON s_suppkey = p._ord),

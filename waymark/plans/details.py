@@ -6,7 +6,8 @@ from waymark import schema as S
 from waymark.functions import cleaning as C
 from waymark.operators import audit, cascade, crosswalk, dedup, enrich, metrics, quality, search, spatial
 from waymark.plans import adapters as A
-from waymark.plans.catalogue import _DEC, _HAV, _LAYER, _PLACE, _SWAPPED, clean, layer1, register
+from waymark.plans import pipelines
+from waymark.plans.catalogue import _CLEAN, _DEC, _ENROLLED, _HAV, _LAYER, _PAIRS, _PLACE, _RATCLIFF, _SWAPPED, clean, codes, enrolment, layer1, located_observations, register
 from waymark.sources import io
 
 
@@ -194,6 +195,76 @@ def crosswalk_second_layer(spark, d):
     return found.select(F.col("l_site_id").alias("historical_id"), F.col("r_site_id").alias("canonical_id"), F.round("similarity", 6).alias("similarity"))
 
 
+_BOTH = _RECORDS.replace("hid_ord % 2 = 0 OR historical_id = canonical_id", "true") + _PAIRS.format(a="orphan", b="reference") + _RATCLIFF
+
+
+@register(_LAYER + _BOTH + """SELECT historical_id, canonical_id, 'official_mapping' AS match_method, coalesce(year_first_seen, 0) AS year_first_seen, coalesce(year_last_seen, 0) AS year_last_seen FROM layer
+UNION ALL SELECT l, r, 'spatial_name', 0, 0 FROM alike""", "site", "obs", "mapping")
+def crosswalk_both_layers(spark, d):
+    known = A.site(spark, d).where("_ord % 80 = 5 OR _ord % 3 = 0").select("site_id")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return crosswalk.build_crosswalk(A.mapping(spark, d), clean(spark, d), known).select("historical_id", "canonical_id", "match_method", zero("year_first_seen"), zero("year_last_seen"))
+
+
+# --- the pipeline of several sources ----------------------------------------------------------------------------------
+
+_IN = "longitude > x0 AND longitude < x1 AND latitude > y0 AND latitude < y0 + 2 AND CASE WHEN tri = 0 THEN latitude - y0 < 2 * (longitude - x0) ELSE latitude - y0 > 2 * (longitude - x0) END"
+_CLOSE = "sqrt(pow(greatest(x0 - longitude, 0, longitude - x1), 2) + pow(greatest(y0 - latitude, 0, latitude - y1), 2)) < 0.002"
+#: Observations with places; the crosswalk of both layers, with the IDs of the enrolment list known.
+_SOURCES = f""", {_CLEAN}, located AS (SELECT c.*, {", ".join(f"CASE WHEN (_ord + priority) % 4 <> 0 THEN p.{x} END AS {x}" for x in ("region", "province", "municipality", "barangay"))} FROM clean c JOIN (SELECT _ord, region, province, municipality, barangay FROM published) p USING (_ord)),
+ids AS (SELECT historical_id, canonical_id, _ord, rk FROM layer UNION ALL SELECT l, r, 4611686018427387904, 0 FROM alike),
+look AS (SELECT historical_id AS site_id, canonical_id FROM (SELECT *, row_number() OVER (PARTITION BY historical_id ORDER BY historical_id <> canonical_id, _ord, rk) AS rn FROM ids) WHERE rn = 1),
+moved AS (SELECT l.* REPLACE (coalesce(canonical_id, site_id) AS site_id) FROM located l LEFT JOIN look USING (site_id)),
+long AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY source, site_id ORDER BY latitude IS NULL, site_name IS NULL, _ord) AS rn FROM moved) WHERE rn = 1 AND site_id NOT IN (SELECT site_id FROM e WHERE sector = 'private')),
+own AS (SELECT e.* REPLACE (coalesce(canonical_id, site_id) AS site_id) FROM e LEFT JOIN look USING (site_id) WHERE sector = 'public'),
+missing AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY site_name IS NULL, _ord) AS rn FROM own) WHERE rn = 1 AND site_id NOT IN (SELECT site_id FROM long)),
+u AS (SELECT DISTINCT site_id, false AS from_enrollment FROM long UNION ALL SELECT site_id, true FROM missing)
+"""
+#: A row a site: coordinates, places, name, status of enrolment, code.
+_SITES = """, placed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, _ord) AS rn FROM long WHERE latitude IS NOT NULL) WHERE rn = 1),
+have AS (SELECT site_id, string_agg(source, ',' ORDER BY priority) AS sources FROM long WHERE latitude IS NOT NULL GROUP BY site_id),
+places AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY p, _ord) AS rn FROM (
+  SELECT site_id, _ord, source, region, province, municipality, barangay, CASE source WHEN 'nsbi_2324' THEN 1 WHEN 'geolocation_deped' THEN 2 WHEN 'monitoring_validated' THEN 3 WHEN 'osmapaaralan' THEN 4 ELSE 5 END AS p FROM long
+  UNION ALL SELECT site_id, _ord, 'enrollment', region, province, municipality, barangay, 6 FROM missing) WHERE coalesce(region, province, municipality, barangay) IS NOT NULL) WHERE rn = 1),
+named AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, _ord) AS rn FROM long WHERE site_name IS NOT NULL) WHERE rn = 1),
+s0 AS (SELECT u.site_id, from_enrollment, placed.latitude, placed.longitude, placed.swapped, placed.priority, placed.source AS coord_source, CASE WHEN from_enrollment AND placed.latitude IS NULL THEN 'enrollment_only' ELSE have.sources END AS sources_available,
+    p.region, p.province, p.municipality, p.barangay, p.source AS location_source, coalesce(named.site_name, site.site_name) AS site_name, substr(site.claimed_adm3_10, 1, 7) AS claimed,
+    CASE WHEN from_enrollment OR u.site_id IN (SELECT site_id FROM own) THEN 'active' ELSE 'no_enrollment_reported' END AS enrollment_status
+  FROM u LEFT JOIN placed USING (site_id) LEFT JOIN have USING (site_id) LEFT JOIN places p USING (site_id) LEFT JOIN named USING (site_id) LEFT JOIN site USING (site_id))
+"""
+#: Validation in its order: containment, outside, wrong unit, fallback, suspect coordinates.
+_CHECKED = f""", hit AS (SELECT site_id, adm3, adm4, row_number() OVER (PARTITION BY site_id ORDER BY coalesce(adm3 <> claimed, true), polygon_ord) AS rn FROM s0 JOIN poly ON {_IN}),
+unit AS (SELECT DISTINCT adm3, x0, x1, y0, y0 + 2 AS y1 FROM poly),
+beside AS (SELECT site_id FROM s0 JOIN unit ON adm3 = claimed WHERE latitude IS NOT NULL AND {_CLOSE}),
+s1 AS (SELECT s0.*, adm3, adm4, CASE WHEN latitude IS NULL THEN 'no_coordinate_source' WHEN adm3 IS NULL THEN 'outside_all_polygons' WHEN claimed IS NOT NULL AND adm3 <> claimed AND site_id NOT IN (SELECT site_id FROM beside) THEN 'wrong_municipality' END AS reason FROM s0 LEFT JOIN (SELECT * FROM hit WHERE rn = 1) h USING (site_id)),
+s2 AS (SELECT *, CASE WHEN latitude IS NULL THEN 'no_coords' WHEN reason IS NOT NULL THEN 'suspect' WHEN swapped THEN 'fixed_swap' ELSE 'valid' END AS st FROM s1),
+tries AS (SELECT s2.site_id, claimed, l.priority, l.source, l.latitude, l.longitude FROM s2 JOIN long l ON l.site_id = s2.site_id AND l.priority > s2.priority AND l.latitude IS NOT NULL WHERE st = 'suspect'),
+next AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY priority, source) AS rn FROM tries JOIN unit ON adm3 = claimed WHERE {_CLOSE}) WHERE rn = 1),
+found AS (SELECT site_id, p.adm3, p.adm4, row_number() OVER (PARTITION BY site_id ORDER BY p.adm3 <> claimed, polygon_ord) AS rn FROM (SELECT site_id, claimed, latitude, longitude FROM next) n JOIN poly p ON {_IN.replace("x0", "p.x0").replace("x1", "p.x1").replace("y0", "p.y0")}),
+s3 AS (SELECT s2.* REPLACE (coalesce(n.latitude, s2.latitude) AS latitude, coalesce(n.longitude, s2.longitude) AS longitude, coalesce(n.source, coord_source) AS coord_source, CASE WHEN n.site_id IS NULL THEN st ELSE 'valid' END AS st,
+    CASE WHEN n.site_id IS NULL THEN reason END AS reason, coalesce(f.adm3, s2.adm3) AS adm3, coalesce(f.adm4, s2.adm4) AS adm4), CASE WHEN n.site_id IS NOT NULL THEN coord_source END AS fallback_from
+  FROM s2 LEFT JOIN next n USING (site_id) LEFT JOIN (SELECT * FROM found WHERE rn = 1) f USING (site_id)),
+q AS (SELECT *, st IN ('valid', 'fixed_swap') AS t, coalesce({_PLACE}, false) AS ph FROM s3),
+cl AS (SELECT round_even(latitude, 5) AS a, round_even(longitude, 5) AS b FROM q WHERE t AND NOT ph GROUP BY 1, 2 HAVING count(*) >= 3 AND count(DISTINCT lower(municipality)) > 1),
+s4 AS (SELECT q.* EXCLUDE (t, ph), CASE WHEN t AND ph THEN 'placeholder_default' WHEN t AND cl.a IS NOT NULL THEN 'coordinate_cluster' WHEN t AND {_DEC.format(c="latitude")} < 3 AND {_DEC.format(c="longitude")} < 3 THEN 'round_coordinates' END AS flag FROM q LEFT JOIN cl ON round_even(latitude, 5) = a AND round_even(longitude, 5) = b),
+s5 AS (SELECT * REPLACE (CASE WHEN flag IS NULL THEN st ELSE 'suspect' END AS st, coalesce(flag, reason) AS reason) FROM s4),
+meta AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY _ord) AS rn FROM e WHERE upper(sector) <> 'PSO') WHERE rn = 1)
+"""
+_MULTI = _ENROLLED + _LAYER.replace("SELECT site_id FROM site WHERE _ord % 80 = 5 OR _ord % 3 = 0", "SELECT DISTINCT site_id FROM e") + _BOTH + _SOURCES + _SITES + _CHECKED
+
+
+@register(_MULTI + """SELECT site_id, from_enrollment, round(coalesce(latitude, -1), 6) AS latitude, round(coalesce(longitude, -1), 6) AS longitude, coalesce(coord_source, '-') AS coord_source, coalesce(fallback_from, '-') AS coord_fallback_from, coalesce(sources_available, '-') AS sources_available,
+  coalesce(m.region, s.region, '-') AS region, coalesce(s.region, m.old_region, '-') AS old_region, coalesce(s.province, '-') AS province, coalesce(s.municipality, '-') AS municipality, coalesce(s.barangay, '-') AS barangay, coalesce(location_source, '-') AS location_source,
+  coalesce(s.site_name, m.site_name, '-') AS site_name, enrollment_status, coalesce(claimed, '-') AS claimed_adm3, coalesce(adm3, '-') AS observed_adm3, coalesce(adm4, '-') AS observed_adm4, st AS coord_status, coalesce(reason, '-') AS coord_rejection_reason,
+  CASE WHEN st NOT IN ('valid', 'fixed_swap') OR claimed IS NULL OR adm3 IS NULL THEN 'no_validation' WHEN claimed = adm3 THEN 'match' ELSE 'mismatch' END AS psgc_validation, coalesce(m.school_management, '-') AS school_management, coalesce(m.offers_es, -1) AS offers_es
+FROM s5 s LEFT JOIN meta m USING (site_id)""", "site", "obs", "poly", "mapping", "published")
+def pipeline_multi_source(spark, d):
+    out = pipelines.multi_source(io.silver(located_observations(spark, d), "located"), A.mapping(spark, d), io.silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+    places = [F.round(F.coalesce(c, F.lit(-1.0)), 6).alias(c) for c in ("latitude", "longitude")]
+    texts = ("coord_source", "coord_fallback_from", "sources_available", *S.LOCATION_COLS, "old_region", "location_source", "site_name", "claimed_adm3", "observed_adm3", "observed_adm4", "coord_rejection_reason", "school_management")
+    return out.select("site_id", "from_enrollment", "enrollment_status", "coord_status", "psgc_validation", *places, *[dash(c) for c in texts], F.coalesce("offers_es", F.lit(-1)).alias("offers_es"))
+
+
 # --- checks -----------------------------------------------------------------------------------------------------------
 
 
