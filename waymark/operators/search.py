@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark import schema as S
 from waymark.functions.cleaning import display_source, normalize_location
+from waymark.sources.io import silver
 
 LEVELS = ("region", "province", "municipality", "barangay")
 
@@ -108,16 +109,26 @@ def source_distribution(df: DataFrame) -> DataFrame:
     return src.unionByName(st)
 
 
-def _order_statistic(df: DataFrame, group: Sequence[str], col: str, n: str, shares: Sequence[float], span: float = 0.01) -> DataFrame:
-    """For each group the values at index floor(n * share) in order. Values are counted first; a window over the counts of spans (of `span`, so at most some ten thousand degrees' worth a group) finds the span of each index, and only that span's values are ranked."""
-    counts = df.groupBy(*group, n, F.col(col).alias("v")).agg(F.count("*").alias("c")).withColumn("s", F.floor(F.col("v") / span))
-    spans = counts.groupBy(*group, n, "s").agg(F.sum("c").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*group).orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
+def _narrowed(values: DataFrame, group: Sequence[str], ranges: int) -> DataFrame:
+    """One step towards the wanted values: a sketch of each group's values (approximate quantiles) cuts them into ranges, exact counts of the ranges tell which one holds the wanted index, and its values stay, with the index among them."""
+    keys = [*group, "i"]
+    bounds = values.groupBy(*keys).agg(F.percentile_approx("v", [k / ranges for k in range(1, ranges)], 40 * ranges).alias("bounds"))
+    cut = values.join(bounds, keys).withColumn("s", F.size(F.filter("bounds", lambda b: b <= F.col("v")))).drop("bounds")
+    counts = cut.groupBy(*keys, "s").agg(F.sum("c").alias("n"), F.first("at").alias("at"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("s").rowsBetween(Window.unboundedPreceding, 0))  # a row for each range
+    holds = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n")).where("before <= at and at < upto")
+    return cut.join(holds.select(*keys, "s", "before"), [*keys, "s"]).select(*keys, "v", "c", (F.col("at") - F.col("before")).alias("at"))
+
+
+def _order_statistic(df: DataFrame, group: Sequence[str], col: str, n: str, shares: Sequence[float], most: int = 100_000, ranges: int = 200) -> DataFrame:
+    """For each group the values at index floor(n * share) in order, exactly. Equal values are counted first. While a group has more than `most` different ones, sketches narrow them down to the range that holds the index, some `ranges` times smaller each time; only then are they ranked, so no task ranks more than that, however close together the values lie. The driver sees one number a step."""
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col(n) * s).alias("at")) for i, s in enumerate(shares)])).alias("w")
-    holds = spans.withColumn("upto", upto).select(*group, "s", (F.col("upto") - F.col("c")).alias("before"), "upto", wanted).where("before <= w.at and w.at < upto")
-    inside = counts.join(holds.select(*group, "s", "before", "w.i", "w.at"), [*group, "s"])
-    ranked = inside.withColumn("to", F.col("before") + F.sum("c").over(Window.partitionBy(*group, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    return ranked.where("to > at").groupBy(*group).agg(*[F.min(F.when(F.col("i") == i, F.col("v"))).alias(f"{col}_q{i}") for i in range(len(shares))])
+    values = df.groupBy(*group, n, F.col(col).alias("v")).agg(F.count("*").alias("c")).select(*group, "v", "c", wanted).select(*group, "w.i", "v", "c", "w.at")
+    values = silver(values, "values")
+    while (values.groupBy(*group, "i").count().agg(F.max("count")).first()[0] or 0) > most:
+        values = silver(_narrowed(values, group, ranges), "values")
+    ranked = values.withColumn("upto", F.sum("c").over(Window.partitionBy(*group, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    return ranked.where("upto > at").groupBy(*group).agg(*[F.min(F.when(F.col("i") == i, F.col("v"))).alias(f"{col}_q{i}") for i in range(len(shares))])
 
 
 def robust_bounds(df: DataFrame, group: Sequence[str] = ("region",)) -> DataFrame:
@@ -125,9 +136,9 @@ def robust_bounds(df: DataFrame, group: Sequence[str] = ("region",)) -> DataFram
     group = list(group)
     have = df.where("latitude is not null and longitude is not null").select(*group, "latitude", "longitude")
     sized = have.join(have.groupBy(*group).agg(F.count("*").alias("n")), group)
-    lat = _order_statistic(sized, group, "latitude", "n", (0.25, 0.75))
-    lon = _order_statistic(sized, group, "longitude", "n", (0.25, 0.75))
-    q = sized.join(lat, group).join(lon, group)
+    axes = F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).alias("x")) for c in ("latitude", "longitude")])).alias("a")
+    quartiles = _order_statistic(sized.select(*group, "n", axes).select(*group, "n", "a.*"), [*group, "axis"], "x", "n", (0.25, 0.75))
+    q = sized.join(quartiles.groupBy(*group).agg(*[F.min(F.when(F.col("axis") == c, F.col(f"x_q{i}"))).alias(f"{c}_q{i}") for c in ("latitude", "longitude") for i in (0, 1)]), group)
 
     def fenced(c: str) -> Column:
         reach = 2 * (F.col(f"{c}_q1") - F.col(f"{c}_q0"))
