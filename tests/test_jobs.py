@@ -21,6 +21,9 @@ def test_build(spark, sf, tmp_path):
     want = catalogue.QUERIES["pipeline_multi_source"](spark, sf)
     got = spark.read.parquet(f"{root}/gold/public")
     assert got.count() == want.count() and {r[0] for r in got.select("site_id").collect()} == {r[0] for r in want.select("site_id").collect()}
+    changes = {(r["metric"], r["key"]): r["value"] for r in spark.read.json(f"{root}/gold/public-changes").collect()}
+    wanted = {r["source"]: r for r in catalogue.QUERIES["pipeline_changes"](spark, sf).collect()}
+    assert all(changes[m, s] == r[m] for s, r in wanted.items() for m in ("rows", "remapped", "merged", "removed", "promoted")) and any(m == "apart" for m, _ in changes)
     values = {(r["metric"], r["key"]): r["value"] for r in spark.read.json(f"{root}/gold/institutions-metrics").collect()}
     assert values["program_level", "BS"] == values["program_rows", "total"] == programs.count() and values["rows", "total"] == spark.read.parquet(f"{root}/gold/institutions").count()
     with pytest.raises(ValueError):

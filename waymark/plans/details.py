@@ -250,6 +250,10 @@ s4 AS (SELECT q.* EXCLUDE (t, ph), CASE WHEN t AND ph THEN 'placeholder_default'
 s5 AS (SELECT * REPLACE (CASE WHEN flag IS NULL THEN st ELSE 'suspect' END AS st, coalesce(flag, reason) AS reason) FROM s4),
 meta AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY _ord) AS rn FROM e WHERE upper(sector) <> 'PSO') WHERE rn = 1)
 """
+def built(spark, d, parts=None):
+    return pipelines.multi_source(io.silver(located_observations(spark, d), "located"), A.mapping(spark, d), io.silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d), parts=parts)
+
+
 _MULTI = _ENROLLED + _LAYER.replace("SELECT site_id FROM site WHERE _ord % 80 = 5 OR _ord % 3 = 0", "SELECT DISTINCT site_id FROM e") + _BOTH + _SOURCES + _SITES + _CHECKED
 
 
@@ -259,12 +263,40 @@ _MULTI = _ENROLLED + _LAYER.replace("SELECT site_id FROM site WHERE _ord % 80 =
   CASE WHEN st NOT IN ('valid', 'fixed_swap') OR claimed IS NULL OR adm3 IS NULL THEN 'no_validation' WHEN claimed = adm3 THEN 'match' ELSE 'mismatch' END AS psgc_validation, coalesce(m.school_management, '-') AS school_management, coalesce(m.offers_es, -1) AS offers_es
 FROM s5 s LEFT JOIN meta m USING (site_id)""", "site", "obs", "poly", "mapping", "published")
 def pipeline_multi_source(spark, d):
-    out = pipelines.multi_source(io.silver(located_observations(spark, d), "located"), A.mapping(spark, d), io.silver(enrolment(spark, d), "enrolment"), A.poly(spark, d), codes(spark, d))
+    out = built(spark, d)
     places = [F.round(F.coalesce(c, F.lit(-1.0)), 6).alias(c) for c in ("latitude", "longitude")]
     texts = ("coord_source", "coord_fallback_from", "sources_available", *S.LOCATION_COLS, "old_region", "location_source", "site_name", "claimed_adm3", "observed_adm3", "observed_adm4", "coord_rejection_reason", "school_management")
     return out.select("site_id", "from_enrollment", "enrollment_status", "coord_status", "psgc_validation", *places, *[dash(c) for c in texts], F.coalesce("offers_es", F.lit(-1)).alias("offers_es"))
 
 
+@register(_MULTI + """, came AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE canonical_id <> site_id) AS remapped FROM located LEFT JOIN look USING (site_id) GROUP BY source),
+one AS (SELECT source, count(*) AS n FROM (SELECT DISTINCT source, site_id FROM moved) GROUP BY source),
+kept AS (SELECT source, count(*) AS n FROM long GROUP BY source), up AS (SELECT coord_source AS source, count(*) AS n FROM s3 WHERE fallback_from IS NOT NULL GROUP BY 1)
+SELECT source, came.n AS rows, remapped, came.n - one.n AS merged, one.n - kept.n AS removed, coalesce(up.n, 0) AS promoted FROM came JOIN one USING (source) JOIN kept USING (source) LEFT JOIN up USING (source)""", "site", "obs", "poly", "mapping", "published")
+def pipeline_changes(spark, d):
+    """Counts taken while the pipeline writes its tables."""
+    parts = {}
+    built(spark, d, parts)
+    return parts["changes"]
+
+
+@register(_MULTI + f""", l AS (SELECT * FROM long WHERE latitude IS NOT NULL), final AS (SELECT site_id, coord_source, row_number() OVER (ORDER BY site_id) AS rn FROM s5 WHERE coord_source IS NULL)
+SELECT 'discrepancies' AS part, a.source || '|' || b.source AS key, count(*) AS value FROM l a JOIN l b ON a.site_id = b.site_id AND a.priority < b.priority WHERE {_HAV} > 1 GROUP BY 2
+UNION ALL SELECT 'non_identity', 'total', count(*) FROM ids WHERE historical_id <> canonical_id
+UNION ALL SELECT 'without_coordinates', site_id, 1 FROM final WHERE rn <= 20
+UNION ALL SELECT 'coord_status', st, count(*) FROM s5 GROUP BY 2 UNION ALL SELECT 'coord_source', coalesce(coord_source, '__null__'), count(*) FROM s5 GROUP BY 2
+UNION ALL SELECT 'crosswalk_rows', 'total', count(*) FROM ids""", "site", "obs", "poly", "mapping", "published")
+def pipeline_report(spark, d):
+    """The parts of the build report; the first 20 sites without coordinates are its feature."""
+    parts = {}
+    rows = io.silver(built(spark, d, parts), "rows")
+    report = metrics.report_public(rows, parts["crosswalk"], cascade.source_discrepancies(parts["sources"]))
+    part = lambda name, key, value, df: df.select(name.alias("part"), key.alias("key"), value.alias("value"))
+    out = part(F.lit("discrepancies"), F.concat_ws("|", "source_a", "source_b"), F.col("n"), report["discrepancies"])
+    out = out.unionByName(part(F.col("metric"), F.col("key"), F.col("value"), report["non_identity"].unionByName(report["metrics"].where(F.col("metric").isin("coord_status", "coord_source", "crosswalk_rows")))))
+    return out.unionByName(part(F.lit("without_coordinates"), F.col("site_id"), F.lit(1).cast("long"), report["without_coordinates"]))
+
+
 # --- checks -----------------------------------------------------------------------------------------------------------
 
 

@@ -9,10 +9,11 @@ from collections.abc import Callable, Mapping
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from waymark import schema as S
-from waymark.operators import metrics
+from waymark.operators import cascade, metrics
 from waymark.plans import pipelines
 from waymark.sources import io
 
@@ -44,7 +45,11 @@ def write_gold(spark: SparkSession, root: str) -> list[str]:
 
     done = []
     if (t := tables("observations", "history", "enrolment", "polygons", "codes")) is not None:
-        done.append(_publish(pipelines.multi_source(*t), f"{root}/gold/public", ["site_id"], metrics.public_metrics))
+        parts: dict[str, DataFrame] = {}
+        rows = pipelines.multi_source(*t, parts=parts)
+        done.append(_publish(rows, f"{root}/gold/public", ["site_id"], lambda df: metrics.public_metrics(df, parts["crosswalk"])))
+        apart = cascade.discrepancy_counts(parts["sources"]).select(F.lit("apart").alias("metric"), F.concat_ws("|", "source_a", "source_b").alias("key"), F.col("n").alias("value"))
+        io.write_metrics(metrics.changes_as_metrics(parts["changes"]).unionByName(apart), f"{root}/gold/public-changes")
     if (t := tables("universe", "submissions", "enrolment", "polygons", "codes")) is not None:
         done.append(_publish(pipelines.self_reported(*t), f"{root}/gold/private", ["site_id"], metrics.private_metrics))
     if (t := tables("programs", "polygons")) is not None:
