@@ -63,6 +63,26 @@ def source_csv_round_trip(spark, d):
     return read.select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", F.col("p_retailprice").cast("double").alias("p_retailprice"), "label")
 
 
+@register("SELECT site_id, site_name || ' \"{[\\' AS name, round(lon0, 6) AS x, round(lat0, 6) AS y FROM site", "site")
+def source_geojson(spark, d):
+    """The sites as feature collections, one a partition, each on a single line; names hold braces and quotes."""
+    path, at = io.shared_path(spark, "features"), F.array("lon0", "lat0")
+    name = F.concat("site_name", F.lit(' "{[\\'))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("site_id").alias("ref"), name.alias("name")).alias("properties"), F.struct(F.lit("Point").alias("type"), at.alias("coordinates")).alias("geometry"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = '{"type": "FeatureCollection", "crs": {"type": "name"}, "features": ['
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": [lead + batch.column(0)[0].as_py(), *["," + x for x in batch.column(0).to_pylist()[1:]]]})
+            lead = ","
+        yield pa.RecordBatch.from_pydict({"value": ["]}" if lead == "," else lead + "]}"]})
+
+    A.site(spark, d).select(F.to_json(feature).alias("value")).mapInArrow(run, "value string").write.option("lineSep", " ").text(path)
+    out = io.read_geojson(spark, path)
+    c = C.vertex_centroid("kind", "coordinates")
+    return out.select(F.col("ref").alias("site_id"), F.col("properties")["name"].alias("name"), F.round(c["x"], 6).alias("x"), F.round(c["y"], 6).alias("y"))
+
+
 @register("SELECT polygon_ord, adm3, adm4, 4 AS corners FROM poly", "poly")
 def source_polygon_layer(spark, d):
     """A layer whose codes have the country's prefix."""

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.sources.geojson import read_features
+
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, every column a string."""
@@ -28,14 +30,13 @@ def with_order(df: DataFrame) -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str, id_prop: str = "ref", lines: bool = False) -> DataFrame:
-    """One row a feature that has an id: properties, kind and coordinates (JSON text). lines: newline-delimited features, which split over tasks; a feature collection is one record."""
-    feature = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
-    if lines:
-        rows = spark.read.schema("properties map<string,string>, geometry struct<type:string,coordinates:string>").json(path)
-    else:
-        rows = spark.read.schema(f"features array<{feature}>").json(path, multiLine=True).select(F.explode("features").alias("f")).select("f.*")
+    """One row a feature that has an id: properties, kind and coordinates (JSON text). Feature collections, or, with lines, newline-delimited features; both are read in splits."""
+    kinds = "type string, properties map<string,string>, geometry struct<type:string,coordinates:string>"
+    texts = spark.read.text(path).withColumnRenamed("value", "text") if lines else read_features(spark, path)
+    rows = texts.select(F.from_json("text", kinds).alias("f")).select("f.*")
     ident = F.trim(F.try_element_at("properties", F.lit(id_prop)))
-    return rows.select(ident.alias("ref"), "properties", F.col("geometry.type").alias("kind"), F.col("geometry.coordinates").alias("coordinates")).where(F.coalesce(F.col("ref") != "", F.lit(False)))
+    found = rows.where(F.coalesce("type", F.lit("Feature")) == "Feature")
+    return found.select(ident.alias("ref"), "properties", F.col("geometry.type").alias("kind"), F.col("geometry.coordinates").alias("coordinates")).where(F.coalesce(F.col("ref") != "", F.lit(False)))
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
