@@ -76,6 +76,6 @@ def test_sources(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         io.read_silver(spark, root, "none")
     io.write_gold(df, f"{root}/gold", ["site_id", "sector", "more"], ["site_id"])
-    assert spark.read.parquet(f"{root}/gold").columns == ["site_id", "sector", "more"]
+    assert io.read_published(spark, f"{root}/gold").columns == ["site_id", "sector", "more"]
     described = {r["field"]: r["value"] for r in io.describe_output(df, {"sector": "who runs it"}).collect()}
     assert described == {"rows": "2", "site_id": " (2 rows)", "sector": "who runs it (2 rows)"}

@@ -52,6 +52,25 @@ def page(df: DataFrame, limit: int | None = None, offset: int = 0) -> tuple[int,
     return df.count(), out if limit is None else out.limit(limit)
 
 
+def page_marks(df: DataFrame, size: int, key: str = "site_id") -> DataFrame:
+    """page, first: the first key of each page of `size` rows in the order of a key that doesn't repeat, one row a page. Rows are numbered within sorted ranges, and the counts of the ranges, added up, give each its offset; so no task has all rows."""
+    row = F.monotonically_increasing_id()
+    numbered = silver(df.select(F.col(key).alias("first")).orderBy("first").select("first", F.shiftright(row, 33).alias("range"), row.bitwiseAND((1 << 33) - 1).alias("i")), "numbered")
+    counts = numbered.groupBy("range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    at = numbered.join(counts.select("range", before.alias("before")), "range").select("first", (F.col("before") + F.col("i")).alias("p"))
+    return at.where(F.col("p") % size == 0).select((F.col("p") / size).cast("long").alias("page"), "first")
+
+
+def seek_page(df: DataFrame, marks: DataFrame, number: int, key: str = "site_id") -> DataFrame:
+    """Page number (from 0) by the marks of its ends: the scan of a table sorted by the key reads the row groups between them alone, however far the page is."""
+    ends = [r["first"] for r in marks.where(F.col("page").isin(number, number + 1)).orderBy("page").collect()]  # one or two
+    if not ends:
+        return df.limit(0)
+    own = df.where(F.col(key) >= ends[0])
+    return (own.where(F.col(key) < ends[1]) if len(ends) > 1 else own).orderBy(key)
+
+
 def get_site(df: DataFrame, site_id: str, key: str = "site_id") -> DataFrame:
     return df.where(F.col(key) == site_id).limit(1)
 

@@ -60,7 +60,7 @@ def write_gold(spark: SparkSession, root: str) -> list[str]:
 def _publish(df: DataFrame, path: str, key: list[str], measure: Callable[[DataFrame], DataFrame]) -> str:
     """Written once; the metrics are those of what was written."""
     io.write_gold(df, path, df.columns, key)
-    io.write_metrics(measure(df.sparkSession.read.schema(df.schema).parquet(path)), f"{path}-metrics")
+    io.write_metrics(measure(io.read_published(df.sparkSession, path)), f"{path}-metrics")
     return path.rpartition("/")[2]
 
 

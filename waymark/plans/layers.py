@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from waymark import schema as S
 from waymark.functions import cleaning as C
+from waymark.operators import search
 from waymark.plans import adapters as A
 from waymark.plans.catalogue import register
 from waymark.sources import io
@@ -112,3 +113,16 @@ def stream_earliest_reports(spark, d):
         for k, v in before.items():
             spark.conf.set(k, v)
     return reports.read_earliest(spark, log, "o_custkey", ["o_orderdate", "o_orderkey"]).select(*rows.columns)
+
+
+@register("SELECT o_orderkey, o_custkey, p // 500 AS page FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS p FROM orders) WHERE p // 500 IN (1, (SELECT count(*) - 1 FROM orders) // 500)")
+def pages_by_marks(spark, d):
+    """The second and the last page of the orders, published in order: pages are the feature."""
+    path = io.shared_path(spark, "published")
+    rows = A.table(spark, d, "orders")
+    io.write_gold(rows, path, ["o_orderkey", "o_custkey"], ["o_orderkey"], find=["o_custkey"])
+    table = io.read_published(spark, path)
+    marks = io.silver(search.page_marks(table, 500, "o_orderkey"), "marks")
+    last = marks.agg(F.max("page")).first()[0]
+    first, end = (search.seek_page(table, marks, k, "o_orderkey").withColumn("page", F.lit(k).cast("long")) for k in (1, last))
+    return first.unionByName(end).select("o_orderkey", "o_custkey", "page")

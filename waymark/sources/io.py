@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -144,18 +145,53 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def _listed(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """Numbers of the versions under a path in order, and whether each is complete: Spark's writer leaves its mark last."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(at)]
+    return sorted((int(n[1:]), files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))) for n in names if re.fullmatch(r"v\d{9}", n))
+
+
+def publish(df: DataFrame, path: str, keep: int = 2, **options: str) -> None:
+    """df as a new version of the table at path. Nothing that is there is touched while it is written: readers see the version before until the new one is complete, and after a crash too. Then all but the last `keep` complete versions, and what crashes have left, are deleted; a reader that began with the version before can end."""
+    spark = df.sparkSession
+    there = _listed(spark, path)
+    n = there[-1][0] + 1 if there else 0
+    df.write.options(**options).parquet(f"{path}/v{n:09d}")
+    stay = [k for k, whole in _listed(spark, path) if whole][-keep:]
+    for k, _ in there:
+        if k not in stay:
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{k:09d}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of a table, or a plain Parquet table that others have put there; raises FileNotFoundError if there is neither."""
+    there = _listed(spark, path)
+    whole = [k for k, complete in there if complete]
+    if there and not whole:
+        raise FileNotFoundError(f"{path} has no complete version")
+    try:
+        return spark.read.parquet(f"{path}/v{whole[-1]:09d}" if whole else path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(path) from None
+        raise
+
+
 def write_silver(df: DataFrame, root: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/{name}.parquet")
+    publish(df, f"{root}/{name}.parquet")
 
 
 def read_silver(spark: SparkSession, root: str, name: str, sector: str | None = None) -> DataFrame:
     """A table written before; raises FileNotFoundError if there is none."""
     try:
-        df = spark.read.parquet(f"{root}/{name}.parquet")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(f"{root}/{name}.parquet: write the silver stage first") from None
-        raise
+        df = read_published(spark, f"{root}/{name}.parquet")
+    except FileNotFoundError as e:
+        raise FileNotFoundError(f"{e}: write the silver stage first") from None
     return df if sector is None else df.where(F.lower("sector") == sector.lower())
 
 
@@ -190,11 +226,11 @@ def read_polygons(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({c: F.regexp_replace(c, "^PH", "") for c in ("adm1", "adm2", "adm3", "adm4") if c in df.columns})
 
 
-def write_gold(df: DataFrame, path: str, columns: Sequence[str], key: Sequence[str], files: int | None = None) -> None:
-    """Parquet of fixed columns, sorted by key over all files: ranges to files, sorted within each, so no task has all rows."""
+def write_gold(df: DataFrame, path: str, columns: Sequence[str], key: Sequence[str], files: int | None = None, find: Sequence[str] = (), **options: str) -> None:
+    """A version of a Parquet table of fixed columns, sorted by key over all files: ranges to files, sorted within each, so no task has all rows. Columns that single rows are looked up by (find), beside the key, get Bloom filters."""
     out = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
     out = out.repartitionByRange(files, *key) if files else out.repartitionByRange(*key)
-    out.sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+    publish(out.sortWithinPartitions(*key), path, **{f"parquet.bloom.filter.enabled#{c}": "true" for c in find}, **options)
 
 
 def write_gold_csv(df: DataFrame, path: str) -> None:
