@@ -48,3 +48,21 @@ def test_last_page_and_none(spark):
     pages = [[r[0] for r in search.seek_page(df, marks, k).collect()] for k in range(4)]
     assert pages == [["0", "1", "2"], ["3", "4", "5"], ["6"], []]
     assert search.page_marks(df.limit(0), 3).collect() == []
+
+
+def test_search_by_grams_equals_the_scan(spark, tmp_path):
+    names = [None, "", "ab", "Abc", "abcabc", "xabc", "ABCd", "a bc", "Été é", "😀😀x😀", "cab", "İstanbul", "abc  abc", "bca"]
+    df = spark.createDataFrame([(f"s{i}", n, i) for i, n in enumerate(names)] + [("abc", "bcd", 50), ("abc", "abc again", 51)], "site_id string, site_name string, _ord int")
+    io.write_gold(search.name_grams(df), str(tmp_path / "g"), ["gram", "site_id"], ["gram", "site_id"])
+    grams = io.read_published(spark, str(tmp_path / "g"))
+    for q in ("abc", "ABC", "abcabc", "cab", "ab", "", "s3", "été", "😀x😀", "bcab", "c  a", "nothing", "stan"):
+        assert search.search_by_grams(df, grams, q).collect() == search.search(df, q).collect(), q
+
+
+def test_grams_of_the_query_alone_are_read(spark, tmp_path):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("site_id"), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 12).alias("site_name"), "id")
+    grams = search.name_grams(df)
+    io.write_gold(grams, str(tmp_path / "g"), ["gram", "site_id"], ["gram", "site_id"], **{"parquet.block.size": "200000", "parquet.page.size": "20000", "parquet.block.size.row.check.min": "100"})
+    table = io.read_published(spark, str(tmp_path / "g"))
+    assert read(table.where(F.col("gram").isin("abc", "bcd"))) < grams.count() / 10
+    assert search.search_by_grams(df, table, "abcd", order="id").count() == search.search(df, "abcd", order="id").count() > 0

@@ -46,6 +46,24 @@ def search(df: DataFrame, q: str, key: str = "site_id", name: str = "site_name",
     return df.withColumn("score", score).where("score is not null").orderBy("score", order)
 
 
+def name_grams(df: DataFrame, key: str = "site_id", name: str = "site_name") -> DataFrame:
+    """gram, key: the different strings of three characters in each name, in lower case. An index to be published in the order of gram, so that a query reads the row groups of its own grams."""
+    n = F.lower(F.coalesce(F.col(name), F.lit("")))
+    grams = F.transform(F.sequence(F.lit(1), F.length(n) - 2), lambda i: F.substring(n, i, 3))
+    return df.where(F.length(n) >= 3).select(F.explode(F.array_distinct(grams)).alias("gram"), key).distinct()
+
+
+def search_by_grams(df: DataFrame, grams: DataFrame, q: str, key: str = "site_id", name: str = "site_name", order: str = "_ord") -> DataFrame:
+    """What search gives, by the index: only rows whose names have every gram of q, and the row of that ID, are looked at. Keys aren't null. Queries of fewer than three characters are scanned for."""
+    low = q.lower()
+    wanted = sorted({low[i : i + 3] for i in range(len(low) - 2)})
+    if not wanted:
+        return search(df, q, key, name, order)
+    having = grams.where(F.col("gram").isin(wanted)).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") == len(wanted)).select(key)
+    own = df.where(F.col(key) == q).select(key)
+    return search(df.join(having.union(own), key, "left_semi"), q, key, name, order)
+
+
 def page(df: DataFrame, limit: int | None = None, offset: int = 0) -> tuple[int, DataFrame]:
     """Number of all rows and those of the page."""
     out = df.offset(offset) if offset else df

@@ -126,3 +126,11 @@ def pages_by_marks(spark, d):
     last = marks.agg(F.max("page")).first()[0]
     first, end = (search.seek_page(table, marks, k, "o_orderkey").withColumn("page", F.lit(k).cast("long")) for k in (1, last))
     return first.unionByName(end).select("o_orderkey", "o_custkey", "page")
+
+
+@register("SELECT site_id, CASE WHEN site_id = 'o 12 E' THEN 0 WHEN starts_with(lower(site_name), 'o 12 e') THEN 1 ELSE 2 END AS score FROM published WHERE site_id = 'o 12 E' OR contains(lower(site_name), 'o 12 e')", "published")
+def search_indexed(spark, d):
+    """Ranked search by a published index of three characters."""
+    p, path = A.published(spark, d), io.shared_path(spark, "grams")
+    io.write_gold(search.name_grams(p), path, ["gram", "site_id"], ["gram", "site_id"])
+    return search.search_by_grams(p, io.read_published(spark, path), "o 12 E").select("site_id", "score")
