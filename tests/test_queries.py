@@ -3,6 +3,8 @@
 import json
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -12,6 +14,12 @@ from waymark.sources import io
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+def plain(x):
+    """A value as Python has it; whole numbers are integers, as pandas makes integers with nulls floats on one side."""
+    x = x.item() if isinstance(x, np.generic) else x
+    return None if x is pd.NA or isinstance(x, float) and x != x else int(x) if isinstance(x, float) and x.is_integer() else x
+
+
 def compare(spark, sf, name, queries, oracles):
     got = queries[name](spark, sf).toPandas()
     con = duckdb.connect()
@@ -20,7 +28,7 @@ def compare(spark, sf, name, queries, oracles):
     want = con.sql(oracles[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     cols = sorted(got.columns)
-    norm = lambda f: sorted(map(str, f[cols].astype(object).where(f[cols].notna(), None).itertuples(index=False, name=None)))
+    norm = lambda f: sorted(str(tuple(map(plain, r))) for r in f[cols].itertuples(index=False, name=None))
     assert norm(got) == norm(want)
 
 
