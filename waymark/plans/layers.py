@@ -102,8 +102,9 @@ def stream_earliest_reports(spark, d):
     """The orders as reports in three deliveries, each taken up by a run of the stream; later ones bring earlier orders."""
     rows = A.table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_totalprice").cast("double").alias("o_totalprice"))
     sent, log, state = (io.shared_path(spark, f"reports-{k}") for k in ("in", "log", "state"))
-    before = {k: spark.conf.get(k) for k in reports.STATE_STORE}
-    for k, v in reports.STATE_STORE.items():
+    settings = reports.STATE_STORE | reports.few_partitions(spark)
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         for k in range(3):
