@@ -429,6 +429,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     cells = stored(known.mapInArrow(_cells(shingle, least, shared), "landmark long, node long"), "jaccard-cells")
     meet = cells.groupBy("landmark").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("landmark")
     shared_cells = stored(cells.join(meet, "landmark", "left_semi").distinct(), "jaccard-shared")
+    forget(counts, cells)
     let_go(spark)
     hot = shared_cells.groupBy("landmark").agg(F.count("*").alias("m"), F.min("node").alias("a")).where(F.col("m") > CELL).select("landmark", "a")
     sketched = sets.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
@@ -436,7 +437,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, least: int = 90, heavy
     near = small.mapInArrow(_compatible(least), "a long, b long").unionByName(shared_cells.join(hot, "landmark").where("node <> a").select("a", F.col("node").alias("b")))
     near = stored(near.distinct(), "jaccard-near")
     let_go(spark)
-    forget(counts, cells, shared_cells)
+    forget(shared_cells)
     regions = stored(components(near, "jaccard-regions"), "jaccard-regions")
     forget(near)
     let_go(spark)
